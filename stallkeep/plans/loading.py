@@ -5,6 +5,8 @@ Each works in a folder of its own under the cluster's shared folder.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from stallkeep.plans import medallion
 from stallkeep.plans.catalog import MOMENT, query
 from stallkeep.plans.quality import ITEM_RULES
 from stallkeep.plans.star_schema import FACT_SQL, LEADERS_SQL, TOP_SQL
-from stallkeep.session import new_folder
+from stallkeep.session import new_folder, side_by_side
 from stallkeep.sources import landing
 from stallkeep.sources.store import Store, publish_formats
 from stallkeep.sources.testdata import SQL, SalesTables, with_tables
@@ -156,8 +158,8 @@ def layered_report(t: SalesTables) -> DataFrame:
     """All layers: CSV files of the nine tables to the report over the star."""
     folder = new_folder(t.spark, "layered-report")
     store = Store(t.spark, f"{folder}/store")
-    for name, contract in CLEAN.items():
-        landing.write_csv(getattr(t, name).select(*contract.columns), f"{folder}/landing/{name}")
+    tables = {name: getattr(t, name).select(*contract.columns) for name, contract in CLEAN.items()}
+    side_by_side(t.spark, [partial(landing.write_csv, df, f"{folder}/landing/{name}") for name, df in tables.items()])
     landing.load_full(store, f"{folder}/landing")
     medallion.run_from_bronze(store)
     return medallion.top_categories(store)

@@ -5,7 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 # Runtime re-planning does the size checks for us: a join side is broadcast only
 # when its measured size is under the threshold, and hot partitions are split.
@@ -62,3 +66,11 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 6) -> list[object]:
+    """Run independent jobs at the same time, so that small tables fill the gaps
+    large ones leave. The first error is raised after all have ended."""
+    run = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(run(job)) for job in jobs]]

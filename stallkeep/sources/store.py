@@ -37,6 +37,10 @@ class TableMissing(LookupError):
     pass
 
 
+def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 class Store:
     """Tables named layer + table under one root folder.
 
@@ -75,7 +79,7 @@ class Store:
         if version is None:
             raise TableMissing(f"{layer}.{table}")
         if not version.folders:
-            return self.spark.createDataFrame([], version.schema)
+            return _empty(self.spark, version.schema)
         return self.spark.read.schema(version.schema).parquet(*version.folders)
 
     def published(self, layer: str, table: str, tag: str) -> bool:
@@ -101,9 +105,14 @@ class Store:
         """Make `folders` the table's content."""
         current = self.version(layer, table)
         number = current.number + 1 if current else 1
-        row = (number, list(folders), schema.json(), comment or (current.comment if current else ""), tag)
-        entry = self.spark.createDataFrame([row], HISTORY)
-        entry.coalesce(1).write.mode("append").json(f"{self.path(layer, table)}/history")
+        entry = self.spark.range(0, 1, 1, 1).select(
+            F.lit(number).alias("version"),
+            F.array(*map(F.lit, folders)).cast("array<string>").alias("folders"),
+            F.lit(schema.json()).alias("schema"),
+            F.lit(comment or (current.comment if current else "")).alias("comment"),
+            F.lit(tag).cast("string").alias("tag"),
+        )
+        entry.write.mode("append").json(f"{self.path(layer, table)}/history")
 
     def ensure(self, layer: str, contract: Contract) -> None:
         """Create the typed table when absent; keep its rows when present."""
