@@ -10,6 +10,7 @@ from stallkeep.operators.top_n import quantity_by_category
 from stallkeep.operators.top_n import top_n_with_other as top_n
 from stallkeep.plans.catalog import DAY, query
 from stallkeep.plans.star_schema import LEADERS_SQL, TOP_SQL
+from stallkeep.session import stored
 from stallkeep.sources.testdata import SalesTables, with_tables
 
 
@@ -91,7 +92,7 @@ _RFV = """
            CAST(date_diff('day', CAST(max(order_purchase_timestamp) AS DATE),
                 (SELECT CAST(max(order_purchase_timestamp) AS DATE) FROM sales_orders)) AS INTEGER) AS recency_days,
            count(DISTINCT o.order_id) AS frequency,
-           CAST(coalesce(sum(CAST(price AS DECIMAL(16,2))), 0) AS DECIMAL(28,2)) AS monetary
+           CAST(coalesce(sum(CAST(price AS DECIMAL(16,2))), 0) AS DECIMAL(18,2)) AS monetary
     FROM customers c JOIN sales_orders o ON c.customer_id = o.customer_id
     LEFT JOIN order_items i ON o.order_id = i.order_id GROUP BY 1"""
 _CUTS = "SELECT " + ", ".join(
@@ -118,7 +119,8 @@ _RFV_TABLES = {
 
 
 def _metrics(t: SalesTables) -> DataFrame:
-    return segments.rfv_metrics(t.customers, totals.with_order_totals(t.orders, t.order_items))
+    metrics = segments.rfv_metrics(t.customers, totals.with_order_totals(t.orders, t.order_items))
+    return stored(metrics, "rfv-metrics")
 
 
 @query(with_tables("SELECT * FROM scores", "customers", "sales_orders", "order_items", **_RFV_TABLES))

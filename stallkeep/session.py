@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
 
 # Runtime re-planning does the size checks for us: a join side is broadcast only
@@ -68,6 +68,17 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written once to the shared folder and read back.
+
+    For a frame that several later passes read: they read the columns they need
+    from there, and a lost executor costs no recomputation of `df`.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 6) -> list[object]:
     """Run independent jobs at the same time, so that small tables fill the gaps
     large ones leave. The first error is raised after all have ended."""

@@ -1,0 +1,182 @@
+import datetime as dt
+import math
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from stallkeep.functions.text import canonical_name, deletion_variants
+from stallkeep.operators import patterns, segments, totals
+from stallkeep.operators.cleansing import fill_nulls, fix_city_names
+from stallkeep.operators.quantiles import cut_points
+from stallkeep.operators.top_n import top_n_with_other
+
+
+def test_order_without_items_has_null_total(spark):
+    orders = spark.createDataFrame([("a", 9.0), ("b", 9.0)], "order_id string, total_order_value double")
+    items = spark.createDataFrame([("a", 1.1), ("a", 2.2)], "order_id string, price double")
+    found = totals.with_order_totals(orders, items).collect()
+    assert {r["order_id"]: r["total_order_value"] for r in found} == {"a": 3.3, "b": None}
+
+
+def test_order_total_does_not_double_on_repeated_orders(spark):
+    orders = spark.createDataFrame([("a",), ("a",)], "order_id string")
+    items = spark.createDataFrame([("a", 1.5)], "order_id string, price double")
+    assert [r["total_order_value"] for r in totals.with_order_totals(orders, items).collect()] == [1.5, 1.5]
+
+
+def test_category_share(spark):
+    products = spark.createDataFrame([("p", "toys"), ("q", "books"), ("r", None)], "product_id string, product_category_name string")
+    items = spark.createDataFrame([("1", "p"), ("1", "p"), ("2", "q"), ("3", "r")], "order_id string, product_id string")
+    orders = spark.createDataFrame([("1", "delivered"), ("2", "canceled"), ("3", "shipped")], "order_id string, order_status string")
+    found = totals.with_share(totals.category_counts(products, items, orders)).collect()
+    shares = {r["product_category_name"]: (r["quantity"], r["percentage_of_total"]) for r in found}
+    assert set(shares) == {"toys", None}  # the category of a canceled order only is absent
+    assert shares["toys"][0] == 2
+    assert abs(sum(s for _, s in shares.values()) - 100) < Decimal("1e-10")
+
+
+def test_top_n_with_other(spark):
+    rows = [(None, 100), ("a", 9), ("b", 8), ("d", 7), ("c", 7), ("e", 1)]
+    df = spark.createDataFrame(rows, "name string, total long")
+    found = {r["name"]: r["total"] for r in top_n_with_other(df, "name", "total", 4).collect()}
+    # NULL takes one of the four places and still ends in the bucket; ties go by name.
+    assert found == {"a": 9, "b": 8, "c": 7, "OUTROS": 108}
+    assert sum(found.values()) == sum(t for _, t in rows)
+
+
+def brute_cuts(values, probabilities):
+    ordered = sorted(values)
+    return [ordered[max(math.ceil(round(p * len(ordered), 9)), 1) - 1] for p in probabilities]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cut_points_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    metrics = {
+        "few": [rng.randint(0, 3) for _ in range(500)],
+        "hot": [7] * 700 + [rng.randint(0, 1000) for _ in range(300)],
+        "many": [rng.randint(0, 10**6) for _ in range(1001)],
+        "one": [5],
+    }
+    rows = [(m, Decimal(v)) for m, values in metrics.items() for v in values] + [("few", None)]
+    df = spark.createDataFrame(rows, "metric string, value decimal(18,2)").repartition(4)
+    probabilities = [0.2, 0.4, 0.6, 0.8]
+    found = {r["metric"]: r["cuts"] for r in cut_points(df, probabilities).collect()}
+    assert found == {m: brute_cuts(v, probabilities) for m, v in metrics.items()}
+
+
+def test_cut_points_do_not_depend_on_the_sketch(spark, monkeypatch):
+    """With a useless sketch the ranges are wide and the cuts the same."""
+    from stallkeep.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", 5)
+    rng = random.Random(9)
+    values = [rng.randint(0, 500) for _ in range(2000)]
+    df = spark.createDataFrame([("m", Decimal(v)) for v in values], "metric string, value decimal(18,2)").repartition(4)
+    assert cut_points(df, [0.2, 0.5, 0.9]).first()["cuts"] == brute_cuts(values, [0.2, 0.5, 0.9])
+
+
+def test_segments(spark):
+    day = dt.datetime(2024, 1, 1)
+    customers = spark.createDataFrame(
+        [("c1", "ann"), ("c2", "ann"), ("c3", "bob"), ("c4", "eve")], "customer_id string, customer_unique_id string"
+    )
+    orders = spark.createDataFrame(
+        [("c1", day, 10.0), ("c2", day + dt.timedelta(days=9), 5.5), ("c3", day, None)],
+        "customer_id string, order_purchase_timestamp timestamp, total_order_value double",
+    )
+    metrics = segments.rfv_metrics(customers, orders)
+    found = {r["customer_unique_id"]: (r["recency_days"], r["frequency"], r["monetary"]) for r in metrics.collect()}
+    assert found == {"ann": (0, 2, Decimal("15.50")), "bob": (9, 1, Decimal("0.00"))}
+    labels = segments.with_segments(customers, segments.rfv_scores(metrics))
+    by_id = {r["customer_id"]: r["segment"] for r in labels.collect()}
+    assert by_id["c4"] == "no_purchase" and by_id["c1"] == by_id["c2"]
+    assert None not in by_id.values()
+
+
+def test_purchase_gaps_and_rhythm(spark):
+    days = {"a": [1, 1, 5], "b": [2], "c": [1, 3, 200]}
+    start = dt.datetime(2024, 1, 1)
+    rows = [(c, start + dt.timedelta(days=d, hours=h)) for c, ds in days.items() for h, d in enumerate(ds)]
+    orders = spark.createDataFrame(rows, "customer_id string, order_purchase_timestamp timestamp")
+    gaps = patterns.purchase_gaps(orders)
+    of_a = {(r["orders"], r["days_since_previous"]) for r in gaps.where("customer_id = 'a'").collect()}
+    assert of_a == {(2, None), (1, 4)}
+    rhythm = {r["customer_id"]: r["rhythm"] for r in patterns.purchase_rhythm(gaps).collect()}
+    assert rhythm == {"a": "regular", "b": "once", "c": "slowing"}
+
+
+def test_fill_nulls_by_default(spark):
+    df = spark.createDataFrame([("p", None), ("q", "toys")], "product_id string, product_category_name string")
+    filled = fill_nulls(df, {"product_category_name": "unknown", "absent": 1})
+    assert [r["product_category_name"] for r in filled.orderBy("product_id").collect()] == ["unknown", "toys"]
+
+
+def test_canonical_name(spark):
+    df = spark.createDataFrame([("  SÃO   Paulo ",)], "c string")
+    assert df.select(canonical_name(F.col("c"))).first()[0] == "sao paulo"
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, last = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_deletion_variants_meet_for_every_near_pair(spark):
+    rng = random.Random(3)
+    words = ["", "a"] + ["".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    df = spark.createDataFrame([(w,) for w in words], "w string").withColumn("v", deletion_variants(F.col("w"), 2))
+    variants = {r["w"]: set(r["v"]) for r in df.collect()}
+    for a in words:
+        for b in words:
+            if edit_distance(a, b) <= 2:
+                assert variants[a] & variants[b], (a, b)
+
+
+def brute_fix(rows):
+    """All names to all names, row by row."""
+    counts, by_place = {}, {}
+    for zip_, city, state in rows:
+        counts[state, city] = counts.get((state, city), 0) + 1
+        by_place.setdefault((state, zip_), {}).setdefault(city, 0)
+        by_place[state, zip_][city] += 1
+    leading = {(s, min(c, key=lambda n: (-c[n], n))) for (s, _), c in by_place.items()}
+    fixed = []
+    for zip_, city, state in rows:
+        near = [
+            (edit_distance(city, name), -counts[s, name], name)
+            for s, name in leading
+            if s == state and edit_distance(city, name) <= 2
+        ]
+        fixed.append((zip_, city if (state, city) in leading or not near else min(near)[2], state))
+    return sorted(fixed)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_city_fix_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    names = ["campinas", "santos", "sao paulo", "rio", "niteroi", "salto"]
+
+    def typo(name):
+        i = rng.randrange(len(name))
+        return rng.choice([name[:i] + name[i + 1 :], name[:i] + "x" + name[i:], name[:i] + "y" + name[i + 1 :]])
+
+    rows = []
+    for _ in range(300):
+        k = rng.randrange(len(names))
+        city = names[k] if rng.random() < 0.7 else typo(typo(names[k]) or "z")
+        rows.append((k, city, "SP" if k % 2 else "RJ"))
+    df = spark.createDataFrame(rows, "zip int, city string, state string")
+    found = sorted(map(tuple, fix_city_names(df, "zip", "city", "state").collect()))
+    assert found == brute_fix(rows)
+
+
+def test_city_fix_keeps_null_cities(spark):
+    df = spark.createDataFrame([(1, None, "SP"), (1, "santos", "SP")], "zip int, city string, state string")
+    assert fix_city_names(df, "zip", "city", "state").count() == 2

@@ -1,0 +1,131 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from stallkeep.contracts import CLEAN, STAR
+from stallkeep.functions.casting import cast_failures, conform, schema_report
+from stallkeep.operators import star
+
+NOON = dt.datetime(2024, 3, 1, 12)
+
+
+def frame(spark, name, rows):
+    """Rows of a contract, columns not given being NULL."""
+    schema = CLEAN[name].schema
+    return spark.createDataFrame([tuple(r.get(c) for c in schema.names) for r in rows], schema)
+
+
+def sales(spark, payments, spellings=("rio", "Rio"), items=2, seller_zip=1, item_rows=None):
+    orders = frame(spark, "orders", [{"order_id": "o", "customer_id": "c", "order_purchase_timestamp": NOON}])
+    rows = item_rows or [
+        {"order_id": "o", "order_item_id": i + 1, "product_id": "p", "seller_id": "s", "price": 10.5, "freight_value": 1.0}
+        for i in range(items)
+    ]
+    return star.fct_sales(
+        orders,
+        frame(spark, "order_items", rows),
+        frame(spark, "sellers", [{"seller_id": "s", "seller_zip_code_prefix": seller_zip}]),
+        frame(
+            spark,
+            "geolocation",
+            [
+                {"geolocation_zip_code_prefix": 1, "geolocation_city": c, "geolocation_state": "RJ", "geolocation_lat": float(n)}
+                for n in range(3)
+                for c in spellings
+            ],
+        ),
+        frame(
+            spark,
+            "order_payments",
+            [
+                {"order_id": "o", "payment_sequential": n, "payment_value": v, "payment_installments": 1}
+                for n, v in enumerate(payments)
+            ],
+        ),
+    )
+
+
+def test_fact_fans_out_over_spellings_and_payments(spark):
+    fact = sales(spark, [5.0, 16.0])
+    assert fact.count() == 8
+    assert fact.schema == STAR["fct_sales"].schema
+
+
+def test_equal_payments_collapse(spark):
+    fact = sales(spark, [5.0, 5.0], spellings=("rio",), items=1)
+    assert [r["payment_value"] for r in fact.collect()] == [Decimal("5.00")]
+
+
+def test_repeated_items_collapse(spark):
+    row = {"order_id": "o", "order_item_id": 1, "product_id": "p", "seller_id": "s", "price": 1.0, "freight_value": 0.0}
+    assert sales(spark, [5.0], spellings=("rio",), item_rows=[row, row]).count() == 1
+
+
+def test_seller_without_geography_and_order_without_payment_vanish(spark):
+    assert sales(spark, [5.0], seller_zip=2).count() == 0
+    assert sales(spark, []).count() == 0
+
+
+def test_quantity_is_the_item_number(spark):
+    fact = sales(spark, [5.0], spellings=("rio",), items=3)
+    assert sorted(r["quantity"] for r in fact.collect()) == [1, 2, 3]
+
+
+def test_fact_equals_distinct_after_the_joins(spark):
+    """The set-wise build against the plain one: join all rows, then DISTINCT."""
+    fact = sales(spark, [5.0, 5.0, 7.0], items=3)
+    assert fact.count() == fact.distinct().count() == 3 * 2 * 2
+
+
+def test_null_part_gives_null_location_key(spark):
+    places = frame(spark, "geolocation", [{"geolocation_zip_code_prefix": 1, "geolocation_state": "RJ"}])
+    assert star.dim_location(places).first()["location_id"] is None
+
+
+def test_coordinates_keep_every_source_row(spark):
+    row = {"geolocation_zip_code_prefix": 1, "geolocation_city": "rio", "geolocation_state": "RJ", "geolocation_lat": 1e-4}
+    found = star.dim_coordinates(frame(spark, "geolocation", [row, row])).collect()
+    assert [r["geolocation_lat"] for r in found] == ["1.0E-4", "1.0E-4"]
+    assert found[0]["latitude"] == 1e-4
+
+
+@pytest.mark.parametrize("literal,rows", [(False, 1), (True, 2)])
+def test_time_dimension_modes(spark, literal, rows):
+    moments = spark.createDataFrame([(NOON,), (NOON.replace(hour=13),)], "order_purchase_timestamp timestamp")
+    found = star.dim_time(moments, literal=literal)
+    assert found.count() == rows
+    assert found.schema.names == list(STAR["dim_time"].columns)
+
+
+def test_weekdays(spark):
+    days = [dt.datetime(2024, 3, d) for d in (1, 2, 3, 4)]  # Friday to Monday
+    moments = spark.createDataFrame([(d,) for d in days], "order_purchase_timestamp timestamp")
+    rows = star.dim_time(moments).orderBy("time_id").collect()
+    assert [r["weekday"] for r in rows] == [4, 5, 6, 0]
+    assert [r["is_weekend"] for r in rows] == [False, True, True, False]
+
+
+def test_zip_loses_leading_zeros(spark):
+    raw = spark.createDataFrame([("c", "u", "01037", "sp", "SP")], CLEAN["customers"].raw_schema)
+    typed = conform(raw, CLEAN["customers"])
+    assert typed.first()["customer_zip_code_prefix"] == 1037
+    assert star.dim_customer(typed).first()["customer_zip_code_prefix"] == "1037"
+
+
+def test_malformed_values(spark):
+    raw = spark.createDataFrame([("s", "x", "rio", "RJ")], CLEAN["sellers"].raw_schema)
+    contract = CLEAN["sellers"]
+    assert conform(raw, contract).first()["seller_zip_code_prefix"] is None
+    report = cast_failures(raw, {f.name: f.dataType for f in contract.schema})
+    assert {r["column_name"]: r["cast_failures"] for r in report.collect()}["seller_zip_code_prefix"] == 1
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        conform(raw, contract, strict=True).collect()
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([("s", 1)], "seller_id string, other int")
+    report = schema_report(df, CLEAN["sellers"])
+    assert report["seller_city"] == "missing" and report["other"] == "extra"
+    with pytest.raises(ValueError, match="seller_city"):
+        conform(df, CLEAN["sellers"])
