@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from stallkeep.contracts import CLEAN
 from stallkeep.functions.casting import conform
-from stallkeep.operators import totals
+from stallkeep.operators import star, totals
 from stallkeep.plans import medallion
 from stallkeep.plans.catalog import MOMENT, query
-from stallkeep.plans.quality import ITEM_RULES
-from stallkeep.plans.star_schema import FACT_SQL, LEADERS_SQL, TOP_SQL
+from stallkeep.plans.datasets import Datasets
+from stallkeep.plans.quality import CUSTOMER_RULES, ITEM_RULES
+from stallkeep.plans.rules import CLEAN_RULES
+from stallkeep.plans.star_schema import FACT_SQL, FACT_TABLES, LEADERS_SQL, TOP_SQL
 from stallkeep.session import new_folder, side_by_side
 from stallkeep.sources import landing
 from stallkeep.sources.store import Store, publish_formats
@@ -163,3 +165,83 @@ def layered_report(t: SalesTables) -> DataFrame:
     landing.load_full(store, f"{folder}/landing")
     medallion.run_from_bronze(store)
     return medallion.top_categories(store)
+
+
+@query(
+    with_tables(
+        TOP_SQL,
+        *FACT_TABLES,
+        "products",
+        fact=FACT_SQL,
+        totals="""SELECT product_category_name, sum(quantity) AS total_quantity
+            FROM fact f JOIN products p ON f.product_id = p.product_id GROUP BY 1""",
+        leaders=LEADERS_SQL,
+    )
+)
+def report_in_sql(t: SalesTables) -> DataFrame:
+    """The report as a user writes it in SQL, over views of the stored star."""
+    store = Store(t.spark, new_folder(t.spark, "report-in-sql"))
+    store.replace(star.dim_products(t.products), "gold", "dim_products")
+    fact = star.fct_sales(t.orders, t.order_items, t.sellers, t.geolocation, t.order_payments)
+    store.replace(fact, "gold", "fct_sales")
+    store.views("gold", ["dim_products", "fct_sales"])
+    return t.spark.sql(
+        """
+        WITH totals AS (
+            SELECT p.product_category_name AS name, sum(s.quantity) AS quantity
+            FROM gold_fct_sales s JOIN gold_dim_products p USING (product_id) GROUP BY ALL
+        ), leaders AS (
+            SELECT name AS leader FROM totals ORDER BY quantity DESC, name LIMIT 10
+        )
+        SELECT coalesce(leader, 'OUTROS') AS product_category_name, sum(quantity) AS total_quantity
+        FROM totals LEFT JOIN leaders ON name = leader GROUP BY ALL
+        """
+    )
+
+
+def _policy_metrics_sql(dataset: str, source: str, policy: str, rules: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{dataset}' AS dataset, '{rule}' AS rule, '{policy}' AS policy,
+                   count(*) FILTER (WHERE NOT coalesce({condition}, false)) AS violations FROM {source}"""
+        for rule, condition in rules.items()
+    )
+
+
+@query(
+    with_tables(
+        " UNION ALL ".join(
+            [
+                _policy_metrics_sql("items", "lineitem", "warn", ITEM_RULES),
+                _policy_metrics_sql("buyers", "customer", "drop", CUSTOMER_RULES),
+                _policy_metrics_sql("sellers", "sellers", "fail", CLEAN_RULES["sellers"]),
+                """SELECT 'buyers', 'rows written', 'drop', count(*) FROM customer
+                   WHERE c_acctbal > 0 AND c_mktsegment <> 'MACHINERY'""",
+            ]
+        ),
+        "sellers",
+    )
+)
+def declared_datasets(t: SalesTables) -> DataFrame:
+    """Datasets declared under each policy, published, and their counts."""
+    store = Store(t.spark, new_folder(t.spark, "declared-datasets"))
+    checked = Datasets("checked")
+
+    @checked.dataset(comment="Items, warned about", warn=ITEM_RULES)
+    def items(_: Store) -> DataFrame:
+        return t.given("lineitem")
+
+    @checked.dataset(comment="Customers that keep the rules", drop=CUSTOMER_RULES)
+    def buyers(_: Store) -> DataFrame:
+        return t.given("customer")
+
+    @checked.dataset(comment="Sellers, all good or none", fail=CLEAN_RULES["sellers"])
+    def sellers(_: Store) -> DataFrame:
+        return t.sellers
+
+    metrics = checked.publish(store)
+    written = store.read("checked", "buyers").agg(F.count(F.lit(1)).alias("violations"))
+    return metrics.unionByName(
+        written.select(
+            F.lit("buyers").alias("dataset"), F.lit("rows written").alias("rule"), F.lit("drop").alias("policy"), "violations"
+        )
+    )

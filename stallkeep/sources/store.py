@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallkeep.contracts import Contract
-from stallkeep.functions.casting import conform
 from stallkeep.operators.expectations import ExpectationFailed, Rules, expect_or_drop, watch
 
 HISTORY = "version int, folders array<string>, schema string, comment string, tag string"
@@ -82,6 +81,14 @@ class Store:
             return _empty(self.spark, version.schema)
         return self.spark.read.schema(version.schema).parquet(*version.folders)
 
+    def views(self, layer: str, tables: Iterable[str]) -> list[str]:
+        """Temporary views `<layer>_<table>` over the current versions, for SQL."""
+        names = []
+        for table in tables:
+            names.append(f"{layer}_{table}")
+            self.read(layer, table).createOrReplaceTempView(names[-1])
+        return names
+
     def published(self, layer: str, table: str, tag: str) -> bool:
         """Whether a write with this tag was already made visible."""
         history = self._history(layer, table)
@@ -163,12 +170,6 @@ class Store:
         return violations
 
 
-def load_contract(store: Store, df: DataFrame, layer: str, contract: Contract, strict: bool = False) -> DataFrame:
-    """Ensure the table and type `df` for it."""
-    store.ensure(layer, contract)
-    return conform(df, contract, strict)
-
-
 def publish_formats(
     df: DataFrame, folder: str, formats: Iterable[str] = ("parquet", "delta")
 ) -> dict[str, str]:
