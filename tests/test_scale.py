@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallkeep.operators import star, totals
+from stallkeep.operators.cleansing import fix_city_names
 from stallkeep.operators.merging import insert_if_absent
 from stallkeep.operators.top_n import quantity_by_category, top_n_with_other
 from stallkeep.plans import catalog
@@ -54,12 +55,51 @@ def test_same_rows_when_large_and_skewed(large, name):
     assert differences(catalog.callables()[name](large, FOLDER), connect(FOLDER), catalog.check_sql()[name]) == []
 
 
-def test_hot_key_is_split_in_the_merge(large):
-    hot = large.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100).alias("k"), "id")
-    target = large.createDataFrame([(200, 0)], "k long, id long")
-    merged = insert_if_absent(target, hot.repartition(8), ["k"])
-    merged.collect()
-    assert merged.count() == 20_001 - hot.where("k = 200").count()
+def executed(df):
+    """The final plan of a run over all columns of `df`, and its number of rows."""
+    summed = df.agg(F.count(F.lit(1)).alias("n"), *[F.max(c) for c in df.columns])
+    rows = summed.collect()[0]["n"]
+    return summed._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0], rows
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_hot_key_is_split_in_the_merge(large, small):
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 100)
+    batch = large.range(0, 30_000, 1, 8).select(key.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    target = large.range(0, 9_000, 1, 4).select(F.when(F.col("id") % 3 == 0, 101).otherwise(F.col("id") + 200).alias("k"))
+    known = {r["k"] for r in target.distinct().collect()}
+    text, rows = executed(insert_if_absent(target, batch, ["k"], small_batch=small))
+    assert "skew=true" in text
+    assert rows == 9_000 + sum(1 for r in batch.select("k").collect() if r["k"] not in known)
+
+
+def test_hot_city_is_split(large):
+    city = F.when(F.col("id") % 3 == 0, "campinas").otherwise(F.concat(F.lit("town "), F.col("id") % 500))
+    people = large.range(0, 30_000, 1, 8).select(
+        "id", city.alias("city"), F.lit(1).alias("zip"), F.lit("SP").alias("state"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    text, rows = executed(fix_city_names(people, "zip", "city", "state"))
+    assert "skew=true" in text and rows == 30_000
+
+
+def test_hot_order_and_hot_seller_are_split_in_the_fact(large):
+    n = F.col("id")
+    hot_order = F.when(n % 3 == 0, 0).otherwise(n % 2_000).cast("string")
+    hot_seller = F.when(n % 3 == 1, 0).otherwise(n % 500).cast("string")
+    items = large.range(0, 30_000, 1, 8).select(
+        hot_order.alias("order_id"), n.cast("int").alias("order_item_id"), n.cast("string").alias("product_id"),
+        hot_seller.alias("seller_id"), F.lit(1.0).alias("price"), F.lit(2.0).alias("freight_value"),
+    )
+    orders = large.range(2_000).select(
+        n.cast("string").alias("order_id"), F.lit("c").alias("customer_id"), F.timestamp_seconds("id").alias("order_purchase_timestamp")
+    )
+    payments = orders.select("order_id", F.lit(3.0).alias("payment_value"), F.lit(1).alias("payment_installments"))
+    sellers = large.range(500).select(n.cast("string").alias("seller_id"), (n % 50).cast("int").alias("seller_zip_code_prefix"))
+    places = large.range(500).select(
+        (n % 50).cast("int").alias("geolocation_zip_code_prefix"), F.lit("c").alias("geolocation_city"), F.lit("S").alias("geolocation_state")
+    )
+    text, rows = executed(star.fct_sales(orders, items, sellers, places, payments))
+    assert text.count("skew=true") == 3 and rows == 30_000
 
 
 def test_no_cross_join_or_single_task_window():
