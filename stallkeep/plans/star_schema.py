@@ -190,6 +190,7 @@ _DIMENSION_KEYS = {
     "dim_sellers": ("sellers", "seller_id"),
     "dim_location": ("(SELECT DISTINCT geolocation_zip_code_prefix, geolocation_city, geolocation_state FROM geolocation)", _LOCATION_ID),
     "dim_coordinates": ("geolocation", _LOCATION_ID),
+    "dim_time": ("(SELECT DISTINCT CAST(order_purchase_timestamp AS DATE) AS time_id FROM sales_orders)", "time_id"),
     "fct_sales": ("fact", "sale_id"),
 }
 _REFERENCES = {
@@ -197,6 +198,7 @@ _REFERENCES = {
     "product_id": "SELECT product_id FROM products",
     "seller_id": "SELECT seller_id FROM sellers",
     "location_id": f"SELECT {_LOCATION_ID} FROM geolocation",
+    "time_id": f"SELECT {DAY.format('order_purchase_timestamp')} FROM sales_orders",
 }
 
 
@@ -231,6 +233,7 @@ def star_integrity(t: SalesTables) -> DataFrame:
         "dim_sellers": star.dim_sellers(t.sellers),
         "dim_location": star.dim_location(t.geolocation),
         "dim_coordinates": star.dim_coordinates(t.geolocation),
+        "dim_time": star.dim_time(t.orders),
         "fct_sales": stored(_fact(t), "fct-sales"),
     }
     unique = [
@@ -239,6 +242,5 @@ def star_integrity(t: SalesTables) -> DataFrame:
     references = [
         _count(checks.fk_orphans(tables["fct_sales"], r.column, tables[r.table], r.references), "fct_sales", r.column)
         for r in STAR["fct_sales"].foreign_keys
-        if r.table in tables
     ]
     return reduce(DataFrame.unionByName, unique + references)
