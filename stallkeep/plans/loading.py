@@ -43,17 +43,26 @@ def csv_ingest(t: SalesTables) -> DataFrame:
     return conform(store.read("bronze", "order_items"), CLEAN["order_items"])
 
 
-@query(_ITEMS_SQL)
+@query(
+    with_tables(
+        f"""SELECT order_id, customer_id, order_status,
+                   {MOMENT.format("order_purchase_timestamp")} AS order_purchase_timestamp FROM sales_orders""",
+        "sales_orders",
+    )
+)
 def incremental_ingest(t: SalesTables) -> DataFrame:
-    """Two deliveries, by price; a load after each and one more that finds nothing new."""
+    """Two deliveries of orders, the second repeating the first, and a load that finds nothing new."""
     folder = new_folder(t.spark, "incremental-ingest")
     store = Store(t.spark, f"{folder}/store")
-    contract = CLEAN["order_items"]
-    for name, part in {"first": "price < 50000", "second": "price >= 50000"}.items():
-        landing.write_csv(t.order_items.where(part), f"{folder}/landing/order_items/{name}")
+    contract = CLEAN["orders"]
+    for name, part in {"first": t.orders.where("order_status = 'F'"), "second": t.orders, "none": None}.items():
+        if part is not None:
+            landing.write_csv(part, f"{folder}/landing/orders/{name}")
         landing.load_pending(store, f"{folder}/landing", contract)
-    landing.load_pending(store, f"{folder}/landing", contract)
-    return conform(store.read("bronze", "order_items"), contract)
+        medallion.load_clean_added(store)
+    return store.read("silver", "orders").select(
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp"
+    )
 
 
 @query(

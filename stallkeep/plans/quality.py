@@ -225,14 +225,14 @@ def insert_if_absent_deduped(t: SalesTables) -> DataFrame:
     """WITH keyed AS (SELECT CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS custkey,
                              o_orderkey, o_orderstatus FROM orders)
        SELECT * FROM keyed WHERE o_orderstatus = 'F'
-       UNION ALL SELECT * FROM keyed b WHERE o_orderstatus = 'O' AND NOT EXISTS
+       UNION ALL SELECT * FROM keyed b WHERE o_orderstatus <> 'F' AND NOT EXISTS
             (SELECT 1 FROM keyed k WHERE k.o_orderstatus = 'F' AND k.custkey = b.custkey)"""
 )
 def insert_if_absent_null_key(t: SalesTables) -> DataFrame:
     """Rows without a key never match and are always appended."""
     key = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey"))
     keyed = t.given("orders").select(key.alias("custkey"), "o_orderkey", "o_orderstatus")
-    target, batch = keyed.where("o_orderstatus = 'F'"), keyed.where("o_orderstatus = 'O'")
+    target, batch = keyed.where("o_orderstatus = 'F'"), keyed.where("o_orderstatus <> 'F'")
     return insert_if_absent(target, batch, ["custkey"])
 
 

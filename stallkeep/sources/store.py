@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,7 @@ class Version:
     folders: tuple[str, ...]
     schema: T.StructType
     comment: str
+    tag: str | None = None
 
 
 class TableMissing(LookupError):
@@ -61,13 +62,18 @@ class Store:
                 return None
             raise
 
-    def version(self, layer: str, table: str) -> Version | None:
+    def version(self, layer: str, table: str, tag_like: str = "%") -> Version | None:
+        """The newest version, or the newest whose tag matches a LIKE pattern."""
         history = self._history(layer, table)
-        row = history.orderBy(F.desc("version")).first() if history is not None else None
+        if history is None:
+            return None
+        if tag_like != "%":
+            history = history.where(F.col("tag").like(tag_like))
+        row = history.orderBy(F.desc("version")).first()
         if row is None:
             return None
         schema = T.StructType.fromJson(json.loads(row["schema"]))
-        return Version(row["version"], tuple(row["folders"]), schema, row["comment"])
+        return Version(row["version"], tuple(row["folders"]), schema, row["comment"], row["tag"])
 
     def exists(self, layer: str, table: str) -> bool:
         return self.version(layer, table) is not None
@@ -81,6 +87,16 @@ class Store:
             return _empty(self.spark, version.schema)
         return self.spark.read.schema(version.schema).parquet(*version.folders)
 
+    def read_added(self, layer: str, table: str, since: int) -> tuple[DataFrame, int]:
+        """Rows of the folders added after version `since`, and the current version number."""
+        current = self.version(layer, table)
+        if current is None:
+            raise TableMissing(f"{layer}.{table}")
+        before = self._history(layer, table).where(F.col("version") == since).first()
+        known = set(before["folders"]) if before else set()
+        added = tuple(folder for folder in current.folders if folder not in known)
+        return self.read(layer, table, replace(current, folders=added)), current.number
+
     def views(self, layer: str, tables: Iterable[str]) -> list[str]:
         """Temporary views `<layer>_<table>` over the current versions, for SQL."""
         names = []

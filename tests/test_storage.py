@@ -69,6 +69,29 @@ def test_compact(store, spark):
     assert len(store.version("silver", "t").folders) == 1 and store.read("silver", "t").count() == 5
 
 
+def test_added_since(store, spark):
+    store.replace(spark.range(3), "bronze", "t")
+    store.append(spark.range(3, 5), "bronze", "t")
+    added, number = store.read_added("bronze", "t", since=1)
+    assert (sorted(r["id"] for r in added.collect()), number) == ([3, 4], 2)
+    assert store.read_added("bronze", "t", since=2)[0].count() == 0
+    assert store.read_added("bronze", "t", since=0)[0].count() == 5
+
+
+def test_clean_load_of_increments(store, spark, tmp_path):
+    from stallkeep.plans.medallion import load_clean_added
+
+    root = tmp_path / "landing"
+    for ids in (("a", "b"), ("b", "c"), ()):
+        if ids:
+            landing.write_csv(sellers(spark, *ids).coalesce(1), str(root / "sellers" / "-".join(ids)))
+        landing.load_pending(store, str(root), SELLERS)
+        load_clean_added(store)
+    assert sorted(r["seller_id"] for r in store.read("silver", "sellers").collect()) == ["a", "b", "c"]
+    # The third delivery is empty: the table is as created and then appended to twice.
+    assert store.version("silver", "sellers").number == 3
+
+
 def test_unfinished_write_is_invisible(store, spark):
     store.replace(spark.range(3), "silver", "t")
     store.write_data(spark.range(100), "silver", "t")
