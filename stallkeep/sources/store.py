@@ -105,6 +105,13 @@ class Store:
             self.read(layer, table).createOrReplaceTempView(names[-1])
         return names
 
+    def tags(self, layer: str, table: str, prefix: str) -> list[str]:
+        """The tags of all writes that start with `prefix`; one per write."""
+        history = self._history(layer, table)
+        if history is None:
+            return []
+        return [row["tag"] for row in history.where(F.col("tag").startswith(prefix)).select("tag").collect()]
+
     def published(self, layer: str, table: str, tag: str) -> bool:
         """Whether a write with this tag was already made visible."""
         history = self._history(layer, table)

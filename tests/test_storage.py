@@ -147,6 +147,24 @@ def test_pending_files(store, spark, tmp_path):
     assert sorted(r["seller_id"] for r in store.read("bronze", "sellers").collect()) == ["a", "a", "b"]
 
 
+def test_load_lost_half_way_is_repeated_in_full(store, spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "landing")
+    landing.write_csv(sellers(spark, "a").coalesce(1), f"{root}/sellers/one")
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "append", lambda *args, **kw: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            landing.load_pending(store, root, SELLERS)
+    assert landing.load_pending(store, root, SELLERS) == 1
+    assert store.read("bronze", "sellers").count() == 1
+
+
+def test_full_load_counts_as_loaded(store, spark, tmp_path):
+    root = str(tmp_path / "landing")
+    landing.write_csv(sellers(spark, "a").coalesce(1), f"{root}/sellers/one")
+    landing.load_full(store, root)
+    assert landing.load_pending(store, root, SELLERS) == 0
+
+
 def stream_of(spark, folder):
     return ingest.csv_stream(spark, str(folder), SELLERS)
 
