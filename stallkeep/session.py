@@ -82,6 +82,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def side_by_side(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 6) -> list[object]:
     """Run independent jobs at the same time, so that small tables fill the gaps
     large ones leave. The first error is raised after all have ended."""
-    run = inheritable_thread_target(spark)
+    # Wrapped one by one: each job needs thread properties of its own, and one
+    # wrapper would share a single copy among all its jobs.
+    wrapped = [inheritable_thread_target(spark)(job) for job in jobs]
     with ThreadPoolExecutor(at_once) as pool:
-        return [f.result() for f in [pool.submit(run(job)) for job in jobs]]
+        return [f.result() for f in [pool.submit(job) for job in wrapped]]

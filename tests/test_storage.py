@@ -1,10 +1,11 @@
 import os
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from stallkeep.contracts import CLEAN
-from stallkeep.session import new_folder, shared_folder, shuffle_partitions_for, stored
+from stallkeep.session import new_folder, shared_folder, shuffle_partitions_for, side_by_side, stored
 from stallkeep.sources import landing
 from stallkeep.sources.store import TableMissing, publish_formats
 from stallkeep.streaming import ingest
@@ -39,6 +40,14 @@ def test_ensure_is_repeatable_and_keeps_rows(store, spark):
     assert store.read("silver", "sellers").first()["seller_zip_code_prefix"] == 1037
 
 
+def test_jobs_side_by_side_do_not_disturb_each_other(spark):
+    def job(n):
+        return [spark.range(n).repartition(2).count() for _ in range(5)]
+
+    found = side_by_side(spark, [partial(job, n) for n in range(40)], at_once=8)
+    assert found == [[n] * 5 for n in range(40)]
+
+
 def test_missing_table(store):
     with pytest.raises(TableMissing):
         store.read("silver", "nothing")
