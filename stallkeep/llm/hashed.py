@@ -3,7 +3,8 @@
 A text's logit for a class is a bias plus, for each family of n-grams, the mean
 weight of the family's n-grams in the whole text: words, pairs of words, and
 runs of four bytes. Means make long and short texts comparable, and can be
-summed piece by piece.
+summed piece by piece. With `power` 0.5 the sum is divided by the root of the
+count instead, so that a few telling words show in a long text.
 """
 
 from __future__ import annotations
@@ -54,6 +55,7 @@ class HashedModel:
 
     weights: np.ndarray
     bias: np.ndarray
+    power: float = 1.0
     scale: float = 1.0
     shift: np.ndarray | float = 0.0
 
@@ -67,7 +69,7 @@ class HashedModel:
                 count[family, :, 0] += np.diff(bounds)
                 for k in range(len(self.bias)):
                     total[family, :, k] += per_text(self.weights[family, slots, k].astype(np.float64), bounds)
-            rows.append((total / np.maximum(count, 1)).sum(0) + self.bias)
+            rows.append((total / np.maximum(count, 1) ** self.power).sum(0) + self.bias)
         raw = np.concatenate(rows) if rows else np.zeros((0, len(self.bias)))
         return raw * self.scale + self.shift
 
@@ -86,7 +88,7 @@ def constant(probabilities: np.ndarray) -> HashedModel:
     return HashedModel(np.zeros((FAMILIES, 1 << BITS, len(p)), np.float32), bias)
 
 
-def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float = 0.4, decay: float = 1e-3) -> HashedModel:
+def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float = 0.4, decay: float = 1e-3, power: float = 1.0) -> HashedModel:
     """Fit on (text, class) rows: full-batch Adam on class-balanced log loss, then calibration on every fifth row.
 
     `classes` 1 means one logit for class 1 of {0, 1}. A sample without at least
@@ -117,12 +119,12 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
         counts = np.concatenate([p[family][1] for p in parts]).astype(np.float32)
         of = np.repeat(np.arange(len(parts)), sizes)
         total = np.maximum(np.bincount(of, counts, len(parts)), 1)
-        stacked.append((slots, of, (counts / total[of]).astype(np.float32)))
+        stacked.append((slots, of, (counts / total[of] ** power).astype(np.float32)))
     k = 1 if classes == 1 else classes
     target = labels[:, None].astype(float) if k == 1 else np.eye(k)[labels]
     weight = np.where(tested, 0, 1 / np.maximum(share[labels], 1e-9))
     weight = weight / weight.sum()
-    model = HashedModel(np.zeros((FAMILIES, 1 << BITS, k), np.float32), np.zeros(k))
+    model = HashedModel(np.zeros((FAMILIES, 1 << BITS, k), np.float32), np.zeros(k), power)
     first, second = np.zeros_like(model.weights), np.zeros_like(model.weights)
     bias_state = [np.zeros(k), np.zeros(k)]
 

@@ -60,26 +60,38 @@ def line_and_symbol_counts(text: str) -> tuple[int, int, int]:
     return chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines))
 
 
+def _measured(column: pa.Array, model: HashedModel | None, keep_from: float) -> tuple[np.ndarray, ...]:
+    """(words, chars, symbols, repeated lines, repeated words, base_failed, probability, kept) of each text."""
+    n_words, repeats = repeated_words(column)
+    rest = np.array([line_and_symbol_counts(t or "") for t in column.to_pylist()], np.int64).reshape(-1, 3)
+    failed = (n_words < FEWEST_WORDS) | (100 * repeats > 50 * n_words)
+    p = model.posteriors(column)[:, 0] if model is not None else np.ones(len(n_words))
+    return n_words, *rest.T.copy(), repeats, failed, p, ~failed & (p >= keep_from)
+
+
 def judge(documents: DataFrame, model: HashedModel | None, keep_from: float = KEEP_FROM) -> DataFrame:
     """One row of `SCHEMA` per row of `documents` (doc_id, text). No shuffle."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
+    names = [f.split()[0] for f in SCHEMA.split(", ")]
 
     def score(batches):
-        fitted = sent.value
         for batch in batches:
-            column = batch.column("text")
-            n_words, repeats = repeated_words(column)
-            rest = np.array([line_and_symbol_counts(t or "") for t in column.to_pylist()], np.int64).reshape(-1, 3)
-            failed = (n_words < FEWEST_WORDS) | (100 * repeats > 50 * n_words)
-            p = fitted.posteriors(column)[:, 0] if fitted is not None else np.ones(len(n_words))
-            yield pa.record_batch(
-                [batch.column("doc_id"), *map(pa.array, (n_words, *rest.T.copy(), repeats, failed, p, ~failed & (p >= keep_from)))],
-                ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "probability", "kept"],
-            )
+            yield pa.record_batch([batch.column("doc_id"), *map(pa.array, _measured(batch.column("text"), sent.value, keep_from))], names)
 
     return documents.select("doc_id", "text").mapInArrow(score, SCHEMA)
 
 
+def kept_rows(documents: DataFrame, model: HashedModel | None, keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows of `documents` that are kept, with all their columns. No shuffle."""
+    sent = documents.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(_measured(batch.column("text"), sent.value, keep_from)[-1]))
+
+    return documents.mapInArrow(keep, documents.schema)
+
+
 def fitted_model(documents: DataFrame, labels: DataFrame, rows: int = ROWS_PER_CLASS) -> HashedModel | None:
     """The classifier, or None where the labels know fewer than two classes."""
     sample = labelled(documents, labels, "quality", rows)

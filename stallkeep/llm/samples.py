@@ -18,22 +18,22 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label: str, rows: int = ROWS_PER_CLASS, most: int = MOST_BYTES, learn_from: Column | None = None) -> list[tuple[str, int]]:
-    """(text, 0 or 1) of at most `rows` labelled documents a class, chosen by a hash of their ids.
+def labelled(documents: DataFrame, labels: DataFrame, label: str, rows: int = ROWS_PER_CLASS, most: int = MOST_BYTES, learn_from: Column | None = None, values: tuple[int, ...] = (0, 1)) -> list[tuple[str, int]]:
+    """(text, label) of at most `rows` labelled documents a class, chosen by a hash of their ids.
 
     The ids are chosen from the small table alone; they are bounded by
     construction and so may be broadcast to the scan of the texts. A document
     labelled twice counts as its larger label; one that occurs twice is learnt
     from twice at most.
     """
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    known = labels.where(F.col(label).isin(*values) & F.col("doc_id").isNotNull())
     if learn_from is not None:
         known = known.where(learn_from)
     known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = None
-    for value in (0, 1):
+    for value in values:
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = some if chosen is None else chosen.union(some)
     texts = documents.select("doc_id", "text").where(F.octet_length("text") <= most)
-    found = texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int")).limit(4 * rows).collect()
+    found = texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int")).limit(2 * len(values) * rows).collect()
     return sorted((r[0], r[1]) for r in found)
