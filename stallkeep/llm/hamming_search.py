@@ -76,7 +76,8 @@ def _probed(active: DataFrame, index: DataFrame, segments: list[tuple[int, int]]
         own = active.select("query", F.lit(k).alias("segment"), _value("query", shift, bits).alias("own"), flips.alias("flip"))
         own = own.select("query", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
         probes = own if probes is None else probes.union(own)
-    return probes.join(index, ["segment", "value"]).select("query", "code", "n", "least").distinct()
+    # probes are many times the rows they come from, which no estimate knows: both sides are shuffled
+    return probes.hint("merge").join(index, ["segment", "value"]).select("query", "code", "n", "least").distinct()
 
 
 def _scanned(active: DataFrame, codes: DataFrame, k: int) -> DataFrame:
