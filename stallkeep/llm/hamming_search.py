@@ -10,8 +10,8 @@ r covers; only the others go on.
 Rows of equal code are one entry of the index, with their number, their smallest id
 and, for the answer, their k smallest ids: a code that a third of the rows share
 costs no more than any other. The segments' length follows the number of codes, so
-that a probe meets about one. Where a radius would need more probes than a scan of
-the codes reads, the queries left are scanned against all codes, a bounded block of
+that a probe meets about one. Where a radius' probes would cost more than a scan of
+all codes (`PROBE_COST`), the queries left are scanned against all codes, a bounded block of
 queries at a time: exact as well.
 
 Answers hold the k nearest rows, the query's own among them, by distance and then
@@ -39,6 +39,8 @@ BITS = 64
 K = 10
 #: Queries that are scanned against all codes at once.
 BLOCK = 1024
+#: Codes that can be scanned in the time of one probe, which is shuffled, joined and ranked.
+PROBE_COST = 64
 
 
 def sign_codes(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -124,7 +126,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
     while active.limit(1).count():
         probes = sum(comb(bits, radius) for _, bits in segments)
-        last = probes > count // 4 or radius > max(bits for _, bits in segments)
+        last = PROBE_COST * probes > count or radius > max(bits for _, bits in segments)
         if last:
             found = _scanned(active, codes, k)
         else:
