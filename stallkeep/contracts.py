@@ -226,6 +226,8 @@ STAR = _by_name(
             "location_id": "string",
             "geolocation_lat": "string",
             "geolocation_lng": "string",
+            "latitude": "double",
+            "longitude": "double",
         },
         key=("location_id",),
         comment="Coordinates per source row; the key repeats",

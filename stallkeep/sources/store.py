@@ -194,14 +194,16 @@ class Store:
 
 
 def publish_formats(
-    df: DataFrame, folder: str, formats: Iterable[str] = ("parquet", "delta")
+    df: DataFrame, folder: str, formats: Iterable[str] = ("parquet", "delta"), optional: Iterable[str] = ()
 ) -> dict[str, str]:
     """Publish one result in several formats, overwriting; returns format -> path.
 
     The result is computed once: the first format is written from `df`, the
     others from what was written. A format whose package is not installed is
-    left out of the returned mapping.
+    an error, unless it is one of the `optional` ones: those are then left out of
+    the returned mapping.
     """
+    optional = set(optional)
     spark = df.sparkSession
     written: dict[str, str] = {}
     for name in formats:
@@ -213,11 +215,11 @@ def publish_formats(
         try:
             source.write.format(name).mode("overwrite").save(path)
         except AnalysisException as error:
-            if error.getCondition() != "DATA_SOURCE_NOT_FOUND":
+            if error.getCondition() != "DATA_SOURCE_NOT_FOUND" or name not in optional:
                 raise
             continue
         except Exception as error:  # a missing source may surface as a JVM error
-            if "DATA_SOURCE_NOT_FOUND" not in str(error):
+            if "DATA_SOURCE_NOT_FOUND" not in str(error) or name not in optional:
                 raise
             continue
         written[name] = path

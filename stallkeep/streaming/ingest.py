@@ -17,6 +17,7 @@ from stallkeep.contracts import Contract
 from stallkeep.functions.casting import conform
 from stallkeep.operators.expectations import Rules, expect_or_drop, watch
 from stallkeep.operators.merging import absent_rows
+from stallkeep.sources.landing import csv_options
 from stallkeep.sources.store import Store
 
 
@@ -29,14 +30,7 @@ def csv_stream(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """New CSV files as text columns; read files are archived or deleted on request."""
-    reader = (
-        spark.readStream.schema(contract.raw_schema)
-        .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("pathGlobFilter", "*.csv")
-        .option("multiLine", str(contract.multiline_text).lower())
-    )
+    reader = spark.readStream.schema(contract.raw_schema).options(**csv_options(contract))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     elif delete:

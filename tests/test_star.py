@@ -129,3 +129,16 @@ def test_schema_report(spark):
     assert report["seller_city"] == "missing" and report["other"] == "extra"
     with pytest.raises(ValueError, match="seller_city"):
         conform(df, CLEAN["sellers"])
+
+
+def test_moments_of_one_day_are_one_sale(spark):
+    moments = [NOON, NOON.replace(hour=13)]
+    orders = frame(spark, "orders", [{"order_id": "o", "customer_id": "c", "order_purchase_timestamp": m} for m in moments])
+    parts = (
+        frame(spark, "order_items", [{"order_id": "o", "order_item_id": 1, "product_id": "p", "seller_id": "s", "price": 1.0, "freight_value": 1.0}]),
+        frame(spark, "sellers", [{"seller_id": "s", "seller_zip_code_prefix": 1}]),
+        frame(spark, "geolocation", [{"geolocation_zip_code_prefix": 1, "geolocation_city": "rio", "geolocation_state": "RJ"}]),
+        frame(spark, "order_payments", [{"order_id": "o", "payment_sequential": 1, "payment_value": 1.0, "payment_installments": 1}]),
+    )
+    assert star.fct_sales(orders, *parts).count() == 1
+    assert star.fct_sales(orders, *parts, literal=True).count() == 2

@@ -107,8 +107,10 @@ def test_unfinished_write_is_invisible(store, spark):
     assert store.read("silver", "t").count() == 3
 
 
-def test_formats_without_package_are_left_out(spark, tmp_path):
-    paths = publish_formats(spark.range(4), str(tmp_path / "out"), ("parquet", "delta", "orc"))
+def test_formats_without_package_are_left_out_only_on_request(spark, tmp_path):
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        publish_formats(spark.range(4), str(tmp_path / "strict"))
+    paths = publish_formats(spark.range(4), str(tmp_path / "out"), ("parquet", "delta", "orc"), optional=("delta",))
     assert set(paths) == {"parquet", "orc"}
     assert spark.read.orc(paths["orc"]).count() == spark.read.parquet(paths["parquet"]).count() == 4
     publish_formats(spark.range(2), str(tmp_path / "out"), ("parquet",))
@@ -217,3 +219,16 @@ def test_stream_expectations(store, spark, tmp_path):
     assert sorted(r["id"] for r in store.read("silver", "numbers").collect()) == [7, 8, 9]
     row = ingest.metrics_by_rule(store.read("quality", "numbers")).first()
     assert (row["checked_rows"], row["violations"]) == (10, 7)
+
+
+def test_stream_checks_the_header_and_reads_sub_folders(spark, store, tmp_path):
+    names = SELLERS.raw_schema.names
+    (tmp_path / "ok" / "deep").mkdir(parents=True)
+    (tmp_path / "ok" / "deep" / "a.csv").write_text(",".join(names) + "\n1,2,town,SP\n")
+    ingest.stream_append(store, ingest.csv_stream(spark, str(tmp_path / "ok"), SELLERS), "bronze", "deep", str(tmp_path / "c1"))
+    assert store.read("bronze", "deep").count() == 1
+    (tmp_path / "turned").mkdir()
+    (tmp_path / "turned" / "a.csv").write_text(",".join(reversed(names)) + "\nSP,town,2,1\n")
+    with pytest.raises(Exception):
+        ingest.stream_append(store, ingest.csv_stream(spark, str(tmp_path / "turned"), SELLERS), "bronze", "turned", str(tmp_path / "c2"))
+    assert store.read("bronze", "turned").count() == 0
