@@ -8,7 +8,7 @@
        sum over domains of (expected tokens - target tokens)**2 / domain's tokens,
 
    where a domain's expected tokens sum rate * tokens * posterior over all
-   documents. Each step is one distributed sum over a stored table, of as many
+   documents, within 0 and `MOST_RATE`. Each step is one distributed sum over a stored table, of as many
    numbers as there are domains; a task finds its documents' rates again from the
    steps so far. The steps begin at rate 1 and move against each posterior, so
    rates stay as near to 1 as the targets allow. Tokens weigh the gradient's
@@ -23,7 +23,8 @@ Tokens are words (runs of other than white space). Defined results: a null or
 empty text has no tokens and its posterior is the classifier's for an empty text.
 Null and repeated ids are treated row by row; rows alike get equal copies. Without
 labels of two domains all posteriors are equal and all rates 1. A target for a domain
-without documents can't be met and is left out. Other columns are ignored.
+without documents can't be met and is left out; one beyond the largest rate is met as
+far as that rate goes. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ ANCHOR = "clean"
 STEPS, CLOSE = 40, 1e-3
 #: Labelled rows a domain that the classifier is fitted on.
 ROWS = 800
+#: Largest rate: how often a document may be taken at most.
+MOST_RATE = 4.0
 SETTLE = 0.15
 SEED = 3
 
@@ -85,11 +88,11 @@ def posteriors(documents: DataFrame, model: HashedModel) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, row_key long, tokens long, posterior array<double>")
 
 
-def rates_after(p: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """Rates of documents with posteriors `p` after projected steps from 1."""
+def rates_after(p: np.ndarray, steps: list[np.ndarray], most_rate: float = MOST_RATE) -> np.ndarray:
+    """Rates of documents with posteriors `p` after steps from 1, each projected to 0..`most_rate`."""
     rate = np.ones(len(p))
     for step in steps:
-        rate = np.maximum(rate - p @ step, 0)
+        rate = np.clip(rate - p @ step, 0, most_rate)
     return rate
 
 
@@ -97,7 +100,7 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("posterior").flatten().to_numpy().reshape(len(batch), -1)
 
 
-def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = STEPS, close: float = CLOSE) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = STEPS, close: float = CLOSE, most_rate: float = MOST_RATE) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """(steps, expected tokens, target tokens) for a stored table of posteriors."""
     k = len(targets)
     weights = np.array(targets, float)
@@ -107,7 +110,7 @@ def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = S
             total = np.zeros(k)
             for batch in batches:
                 p = _matrix(batch)
-                total += (rates_after(p, steps) * batch.column("tokens").to_numpy()) @ p
+                total += (rates_after(p, steps, most_rate) * batch.column("tokens").to_numpy()) @ p
             yield pa.record_batch([pa.array([float(x)]) for x in total], [f"t{j}" for j in range(k)])
 
         sums = table.select("tokens", "posterior").mapInArrow(run, ", ".join(f"t{j} double" for j in range(k)))
@@ -123,7 +126,9 @@ def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = S
         if np.abs(now - goal).max() <= close * goal.sum():
             break
         steps.append(off)
-        now = expected(steps)
+        before, now = now, expected(steps)
+        if np.abs(now - before).max() <= 0.01 * close * goal.sum():
+            break  # what is left is beyond the largest rate
     return steps, now, goal
 
 
@@ -134,30 +139,30 @@ def copies_of(rate: Column, settle: float = SETTLE, seed: int = SEED, key: str =
     return F.when(near, F.round(rate)).otherwise(F.floor(rate + chance)).cast("long")
 
 
-def with_rates(table: DataFrame, steps: list[np.ndarray]) -> DataFrame:
+def with_rates(table: DataFrame, steps: list[np.ndarray], most_rate: float = MOST_RATE) -> DataFrame:
     """`table` (doc_id, row_key, tokens, posterior) with rate and copies."""
 
     def run(batches):
         for batch in batches:
-            yield pa.record_batch([*batch.columns, pa.array(rates_after(_matrix(batch), steps))], [*batch.schema.names, "rate"])
+            yield pa.record_batch([*batch.columns, pa.array(rates_after(_matrix(batch), steps, most_rate))], [*batch.schema.names, "rate"])
 
     rated = table.mapInArrow(run, "doc_id long, row_key long, tokens long, posterior array<double>, rate double")
     return rated.withColumn("copies", copies_of(F.col("rate")))
 
 
-def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR) -> tuple[DataFrame, list[np.ndarray]]:
+def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE) -> tuple[DataFrame, list[np.ndarray]]:
     """(stored posteriors, steps)."""
     targets = TARGETS if targets is None else targets
     table = stored(posteriors(documents, model), "posteriors")
-    return table, fit_steps(table, [targets.get(d, 0.0) for d in DOMAINS], DOMAINS.index(anchor))[0]
+    return table, fit_steps(table, [targets.get(d, 0.0) for d in DOMAINS], DOMAINS.index(anchor), most_rate=most_rate)[0]
 
 
-def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR) -> DataFrame:
+def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE) -> DataFrame:
     """The rows of `documents`, with all their columns, as often as the mixture takes them.
 
     Texts are scored a second time instead of being joined with their rates.
     """
-    _, steps = fitted_rates(documents, model, targets, anchor)
+    _, steps = fitted_rates(documents, model, targets, anchor, most_rate)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     fields = documents.schema
     schema = T.StructType([*fields, T.StructField("__row_key", T.LongType()), T.StructField("__rate", T.DoubleType())])
@@ -165,7 +170,7 @@ def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, floa
     def run(batches):
         for batch in batches:
             keys, _, p = _scored(batch.column("text"), sent.value)
-            yield pa.record_batch([*batch.columns, pa.array(keys), pa.array(rates_after(p, steps))], schema.fieldNames())
+            yield pa.record_batch([*batch.columns, pa.array(keys), pa.array(rates_after(p, steps, most_rate))], schema.fieldNames())
 
     rated = documents.mapInArrow(run, schema).withColumn("__copies", copies_of(F.col("__rate"), key="__row_key")).where("__copies > 0")
     return rated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{f.name}`") for f in fields])
