@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -153,8 +153,18 @@ class Store:
         """Full rebuild. `df` may read the table it replaces and may change its columns."""
         self.publish(layer, table, [self.write_data(df, layer, table)], df.schema, comment, tag)
 
-    def append(self, df: DataFrame, layer: str, table: str, tag: str | None = None) -> None:
-        """Add rows. The columns are matched by name to those of the table."""
+    def append(
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        tag: str | None = None,
+        before_publishing: Callable[[], None] | None = None,
+    ) -> None:
+        """Add rows. The columns are matched by name to those of the table.
+
+        `before_publishing` is called once the rows are written and not yet visible.
+        """
         current = self.version(layer, table)
         if current is None:
             raise TableMissing(f"{layer}.{table}")
@@ -167,6 +177,8 @@ class Store:
             if field.name in df.columns
         ]
         folder = self.write_data(df.select(*known), layer, table)
+        if before_publishing:
+            before_publishing()
         self.publish(layer, table, [*current.folders, folder], current.schema, tag=tag)
 
     def compact(self, layer: str, table: str) -> None:

@@ -103,7 +103,8 @@ def stream_expectations(
 ) -> StreamingQuery:
     """Append rows under expectations: warn keeps all, drop keeps the good ones.
 
-    The counts per rule come with the write and go to `quality.<table>`.
+    The counts per rule come with the write and go to `quality.<table>`, before the
+    rows appear: a batch repeated after a failure between the two loses neither.
     """
     if not store.exists(layer, table):
         store.publish(layer, table, [], stream.schema)
@@ -115,10 +116,16 @@ def stream_expectations(
         if store.published(layer, table, tag):
             return
         counted, counts = watch(batch, rules)
-        store.append(expect_or_drop(counted, rules) if drop else counted, layer, table, tag=tag)
-        checked = counts.checked_rows()
-        rows = [(table, batch_id, rule, checked, n) for rule, n in counts.violations().items()]
-        store.append(store.spark.createDataFrame(rows, METRICS).coalesce(1), "quality", table, tag=tag)
+
+        def publish_counts() -> None:
+            if store.published("quality", table, tag):
+                return  # by a run of this batch that was lost before its rows appeared
+            checked = counts.checked_rows()
+            found = [(table, batch_id, rule, checked, n) for rule, n in counts.violations().items()]
+            store.append(store.spark.createDataFrame(found, METRICS).coalesce(1), "quality", table, tag=tag)
+
+        kept = expect_or_drop(counted, rules) if drop else counted
+        store.append(kept, layer, table, tag=tag, before_publishing=publish_counts)
 
     return _run(stream, checkpoint, handle)
 

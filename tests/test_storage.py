@@ -221,6 +221,30 @@ def test_stream_expectations(store, spark, tmp_path):
     assert (row["checked_rows"], row["violations"]) == (10, 7)
 
 
+def test_stream_lost_between_counts_and_rows_publishes_each_once(store, spark, tmp_path, monkeypatch):
+    root, checkpoint = tmp_path / "landing", str(tmp_path / "checkpoint")
+    spark.range(10).coalesce(1).write.parquet(str(root))
+
+    def run():
+        stream = spark.readStream.schema("id long").parquet(str(root))
+        ingest.stream_expectations(store, stream, "silver", "numbers", {"above_six": "id > 6"}, checkpoint)
+
+    publish = store.publish
+
+    def lost(layer, table, *args, tag=None, **kwargs):
+        if tag and layer == "silver":
+            raise RuntimeError("lost")
+        publish(layer, table, *args, tag=tag, **kwargs)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store, "publish", lost)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    assert store.read("silver", "numbers").count() == 0 and store.read("quality", "numbers").count() == 1
+    run()
+    assert store.read("silver", "numbers").count() == 10 and store.read("quality", "numbers").count() == 1
+
+
 def test_stream_checks_the_header_and_reads_sub_folders(spark, store, tmp_path):
     names = SELLERS.raw_schema.names
     (tmp_path / "ok" / "deep").mkdir(parents=True)
