@@ -13,6 +13,9 @@ from stallkeep.session import tune
 #: Names of the public tokenizers' files.
 RANKS, VOCABULARY, PIECES = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
+#: Bytes of a batch given to Python, which stands in the executor and in its worker at once. A longer row is a batch.
+BATCH_BYTES = "8m"
+
 
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
@@ -21,7 +24,8 @@ def tokenizer_file(name: str) -> str:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    tune(spark).conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
