@@ -15,9 +15,8 @@
    metric, in which the largest curvature is 1, so steps of 1 converge.
 3. The targets' total is set by an anchor domain, whose tokens are all kept: other
    domains are taken more or less often in proportion.
-4. A rate becomes copies: near a whole number (`SETTLE`) that number, else up or down by a
-   hash of the row with the rate's fraction as probability, so that expected
-   tokens are kept.
+4. A rate becomes copies: up or down to a whole number by a hash of the row with the
+   rate's fraction as probability, so that expected tokens are kept.
 
 Tokens are words (runs of other than white space). Defined results: a null or
 empty text has no tokens and its posterior is the classifier's for an empty text.
@@ -50,7 +49,6 @@ STEPS, CLOSE = 40, 1e-3
 ROWS = 800
 #: Largest rate: how often a document may be taken at most.
 MOST_RATE = 4.0
-SETTLE = 0.15
 SEED = 3
 
 
@@ -132,11 +130,10 @@ def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = S
     return steps, now, goal
 
 
-def copies_of(rate: Column, settle: float = SETTLE, seed: int = SEED, key: str = "row_key") -> Column:
+def copies_of(rate: Column, seed: int = SEED, key: str = "row_key") -> Column:
     """Whole copies for a rate, the same for rows alike."""
     chance = F.pmod(F.xxhash64(F.lit(seed), "doc_id", key), F.lit(1 << 30)) / (1 << 30)
-    near = F.abs(rate - F.round(rate)) <= settle
-    return F.when(near, F.round(rate)).otherwise(F.floor(rate + chance)).cast("long")
+    return F.floor(rate + chance).cast("long")
 
 
 def with_rates(table: DataFrame, steps: list[np.ndarray], most_rate: float = MOST_RATE) -> DataFrame:

@@ -309,3 +309,14 @@ def test_mixing_meets_its_targets(spark, documents, labels, odd, none):
     assert mixing.mixed(none, labels).count() == 0
     flat = mixing.mixed(odd, labels.limit(0)).collect()
     assert len(flat) == len(ODD) and [r for r in flat if r.doc_id == 1][0].tokens == 0
+
+
+def test_copies_meet_the_targets_of_a_domain_far_over_its_share(spark):
+    domains = [0] * 6000 + [1] * 1200 + [2] * 600
+    rows = [(k, k, 100, [float(d == j) for j in range(3)]) for k, d in enumerate(domains)]
+    table = spark.createDataFrame(rows, "doc_id long, row_key long, tokens long, posterior array<double>")
+    steps, _, _ = mixing.fit_steps(table, [mixing.TARGETS[d] for d in mixing.DOMAINS], 0)
+    taken = np.zeros(3)
+    for r in mixing.with_rates(table, steps).collect():
+        taken[domains[r.doc_id]] += r.copies * r.tokens
+    assert np.abs(taken / taken.sum() - [mixing.TARGETS[d] for d in mixing.DOMAINS]).max() < 0.006
