@@ -179,6 +179,36 @@ def test_passages_cover_all_exact_repeats_and_nothing_else(spark):
         assert words_of(kept[i]) == [w for k, w in enumerate(words_of(t)) if k not in covered.get(i, set())]
 
 
+def test_passages_bridge_what_their_similarity_allows():
+    r = random.Random(31)
+
+    def similar(a, b):
+        x, y = Counter(a), Counter(b)
+        return (x & y).total() / (x | y).total()
+
+    def tokens(words):
+        return np.array([hash(tuple(words[k : k + 5])) & ((1 << 63) - 1) for k in range(len(words) - 4)], np.uint64)
+
+    least = {True: 0, False: 0}
+    cases = [(60, 30, 0, 3), (60, 30, 3, 0), (98, 45, 9, 9)]
+    cases += [(n, r.randint(10, n - 30), r.randint(0, 16), r.randint(0, 16)) for n in r.choices(range(55, 140), k=200)]
+    for n, at, gone, new in cases:
+        shared = prose(r, n)
+        other = shared[:at] + prose(r, new) + shared[at + gone :]
+        p, q = tokens(shared), tokens(other)
+        a, b = prose(r, 40), prose(r, 25)
+        found = passages.shared_passages(tokens(a + shared + b), tokens(prose(r, 20) + other + prose(r, 30)), np.array([40]))
+        whole = any(low <= 40 and high >= 40 + len(p) for low, high, _ in found)
+        if similar(p.tolist(), q.tolist()) >= 0.75 and at + gone < n - 9:
+            least[True] += 1
+            assert whole, (n, at, gone, new)
+        elif similar(p.tolist(), q.tolist()) < 0.75:
+            least[False] += 1
+            assert not whole, (n, at, gone, new)
+        assert all(s >= 0.75 for _, _, s in found)
+    assert min(least.values()) > 20
+
+
 def test_passages_of_odd_rows(spark):
     long = " ".join(f"q{k}" for k in range(80))
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, long), (4, long), (5, "y " * 20_000), (6, "y " * 20_000), (7, "few words")]
