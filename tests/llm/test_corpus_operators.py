@@ -14,7 +14,7 @@ pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
 
-from stallkeep.llm import components, hamming_search, html_main, passages, setsketch, warc  # noqa: E402
+from stallkeep.llm import bytetext, components, hamming_search, html_main, passages, setsketch, warc  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -209,6 +209,22 @@ def test_passages_bridge_what_their_similarity_allows():
     assert min(least.values()) > 20
 
 
+def test_passages_round_each_place_of_a_repeated_token(spark):
+    r = random.Random(47)
+    # one text has the token of the shared passage's centre twice: once in a wide window of its own, once in the passage
+    shared = prose(r, 51)
+    tokens = bytetext.shingles(bytetext.words(np.frombuffer(" ".join(shared).encode(), np.uint8), np.array([0, len(" ".join(shared))]), lower=True), 5)[0]
+    centres = sorted({int(np.argmin(passages.mix(tokens ^ seed))) for seed in passages.SEEDS[: passages.FUNCTIONS]})
+    words = prose(r, 70)
+    for c in centres:
+        words += shared[c : c + 5] + prose(r, 70)
+    rows = [(0, " ".join(prose(r, 30) + shared + prose(r, 30))), (1, " ".join(words + shared + prose(r, 30)))]
+    found = passages.window_rows(frame(spark, rows)).where("doc_id = 1").select("centre").distinct().collect()
+    assert {x.centre for x in found} >= {len(words) + c for c in centres}
+    spans = passages.merged_spans(passages.repeated_passages(frame(spark, rows))).collect()
+    assert [(s.doc_id, s.start_word, s.n_words, s.keeper) for s in spans] == [(1, len(words), 51, 0)]
+
+
 def test_passages_of_odd_rows(spark):
     long = " ".join(f"q{k}" for k in range(80))
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, long), (4, long), (5, "y " * 20_000), (6, "y " * 20_000), (7, "few words")]
