@@ -225,6 +225,29 @@ def test_passages_round_each_place_of_a_repeated_token(spark):
     assert [(s.doc_id, s.start_word, s.n_words, s.keeper) for s in spans] == [(1, len(words), 51, 0)]
 
 
+def test_passages_beside_a_stock_line_and_in_chains(spark):
+    r = random.Random(53)
+    line = prose(r, 45)
+    pairs = [prose(r, 8) for _ in range(30)]
+    rows = [(k, prose(r, 30) + line + prose(r, 30)) for k in range(60)]
+    for k in range(60):  # two documents each share the line and some words on one side
+        more = pairs[k // 2]
+        rows.append((100 + k, prose(r, 30) + (line + more if k % 4 < 2 else more + line) + prose(r, 30)))
+    chain = prose(r, 90)
+    for k in range(6):  # each is near to those before and after it only
+        rows.append((300 + k, prose(r, 20) + chain + prose(r, 20)))
+        chain = chain[:14 * k + 5] + prose(r, 1) + chain[14 * k + 6 : 14 * k + 11] + prose(r, 1) + chain[14 * k + 12 :]
+    docs = frame(spark, [(i, " ".join(w)) for i, w in rows])
+    spans = passages.merged_spans(passages.repeated_passages(docs)).collect()
+    covered = {s.doc_id: set(range(s.start_word, s.start_word + s.n_words)) for s in spans}
+    assert not {i for i in covered if i < 100}
+    for i in range(101, 160, 2):
+        place = 30
+        assert set(range(place, place + 53)) <= covered.get(i, set()), i
+    assert not {i for i in covered if i < 300} - set(range(101, 160, 2))
+    assert {i for i in covered if i >= 300} == set(range(301, 306))
+
+
 def test_passages_of_odd_rows(spark):
     long = " ".join(f"q{k}" for k in range(80))
     rows = [(1, None), (2, ""), (3, long), (3, long), (None, long), (4, long), (5, "y " * 20_000), (6, "y " * 20_000), (7, "few words")]
