@@ -313,6 +313,19 @@ def test_repeated_runs_are_removed_from_distinct_pages(spark):
     assert all(few[k] == expected[k] for k in (40, 41, 50, 51))
 
 
+def test_runs_repeat_over_a_whole_host(spark):
+    r = random.Random(61)
+    notice, menu = " ".join(prose(r, 12)), " ".join(prose(r, 10))
+    rows, expected = [], {}
+    for k in range(120):
+        own = "</p><p>".join(" ".join(prose(r, 30)) for _ in range(3))
+        rows.append((k, "http://h.example/a", "".join(f"<p>{t}</p>" for t in ([notice] if k in (7, 93) else []) + ([menu] if k % 40 == 0 else []) + [own])))
+        expected[k] = own.replace("</p><p>", "\n\n")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for group in (400, 20):
+        assert {x.page_id: x.text for x in html_main.main_text(pages, group=group).collect()} == expected
+
+
 def test_repeated_tokens_against_all_pairs():
     r = np.random.default_rng(8)
     for _ in range(20):
