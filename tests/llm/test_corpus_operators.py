@@ -326,6 +326,22 @@ def test_runs_repeat_over_a_whole_host(spark):
         assert {x.page_id: x.text for x in html_main.main_text(pages, group=group).collect()} == expected
 
 
+def test_articles_on_several_pages_stay(spark):
+    r = random.Random(62)
+    line = " ".join(prose(r, 12))
+    parts = [" ".join(prose(r, n)) for n in (40, 35, 30)]
+    plain, text = "".join(f"<p>{p}</p>" for p in parts), "\n\n".join(parts)
+    rows = [(k, f"<p>{line}</p>{plain}<p>print {k}</p>") for k in range(2)] + [(2, f"<article>{plain}</article><div>more</div>")]
+    rows += [(k, f"<p>{line}</p><p>{' '.join(prose(r, 60))}</p>") for k in range(3, 8)]
+    rows.append((8, f"<div>{parts[1]}</div>" + "".join(f"<div>{' '.join(prose(r, 45))}</div>" for _ in range(4))))  # an index page's teaser
+    pages = spark.createDataFrame([(k, "http://h.example/a", h) for k, h in rows], "page_id long, url string, html string")
+    for group in (400, 4):
+        found = {x.page_id: x.text for x in html_main.main_text(pages, group=group).collect()}
+        assert found[2] == text
+        assert [found[k] for k in (0, 1)] == [f"{text}\n\nprint {k}" for k in (0, 1)]
+        assert not any(line in found[k] for k in range(8))
+
+
 def test_repeated_tokens_against_all_pairs():
     r = np.random.default_rng(8)
     for _ in range(20):
