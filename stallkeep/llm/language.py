@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.llm.bytetext import blocks, mix, per_text, words
-from stallkeep.llm.samples import MOST_BYTES, held_out
+from stallkeep.llm.samples import MOST_BYTES, at_most_twice, held_out
 
 #: Texts per language that the models are fitted on, distinct words of them, and rounds.
 TEXTS, WORDS, ROUNDS = 300, 30_000, 3
@@ -230,22 +230,28 @@ def fit(rows: list[tuple[str, str]], pieces: list[str], rounds: int = ROUNDS) ->
     return Languages(names, vocabulary, np.array(tables).T if names else np.zeros((len(pieces) + 1, 0)))
 
 
+#: Languages that a fit can tell apart in a worker's memory.
+MOST_LANGUAGES = 200
+
+
 def training_rows(documents: DataFrame, texts: int = TEXTS, most: int = MOST_BYTES) -> list[tuple[str, str]]:
     """(language, text) of at most `texts` documents of each language that are not held out.
 
-    The languages are few; the ids chosen, a bounded number of each, are kept by
-    one hash threshold per language found from counts alone, so that only the
-    chosen texts leave the scan.
+    The ids chosen, a bounded number of each language, are kept by one hash threshold
+    per language found from counts of ids alone, so that only the chosen texts leave
+    the scan. An id is learnt from twice at most in a language; more than
+    `MOST_LANGUAGES` are an error.
     """
     usable = documents.select("doc_id", "text", "lang").where(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.octet_length("text") <= most))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
     # twice the wanted share, cut to `texts` below: bounded, and enough of each
-    shares = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(200).collect()}
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int((1 << 20) * min(1.0, 2 * texts / r["n"])))]) if counts else None
+    chosen = usable.where(place < share[F.col("lang")]) if counts else usable.limit(0)
+    found = at_most_twice(chosen, "lang", "doc_id").select("lang", "text", place.alias("place")).collect()
     rows = []
-    wanted = F.lit(False)
-    for lang, n in shares.items():
-        wanted = wanted | ((F.col("lang") == lang) & (place < int((1 << 20) * min(1.0, 2 * texts / n))))
-    found = usable.where(wanted).select("lang", "text", place.alias("place")).limit(4 * texts * max(len(shares), 1)).collect()
     taken: Counter = Counter()
     for r in sorted(found, key=lambda r: (r["lang"], r["place"], r["text"])):
         taken[r["lang"]] += 1

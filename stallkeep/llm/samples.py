@@ -35,5 +35,13 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, rows: int = RO
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
         chosen = some if chosen is None else chosen.union(some)
     texts = documents.select("doc_id", "text").where(F.octet_length("text") <= most)
-    found = texts.join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("int")).limit(2 * len(values) * rows).collect()
+    found = at_most_twice(texts.join(F.broadcast(chosen), "doc_id"), "doc_id", "label").select("text", F.col("label").cast("int")).collect()
     return sorted((r[0], r[1]) for r in found)
+
+
+def at_most_twice(rows: DataFrame, *ids: str) -> DataFrame:
+    """(ids, text): two of the rows of each id at most, those of the least and largest hash of their texts."""
+    hashed = F.struct(F.xxhash64("text").alias("hash"), "text")
+    ends = rows.groupBy(*ids).agg(F.min(hashed).alias("low"), F.max(hashed).alias("high"), F.count("*").alias("n"))
+    texts = F.when(F.col("n") > 1, F.array("low.text", "high.text")).otherwise(F.array("low.text"))
+    return ends.select(*ids, F.explode(texts).alias("text"))

@@ -15,6 +15,7 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from stallkeep.llm import bytetext, hashed, language, mixing, packing, quality_cnn, quality_rules  # noqa: E402
 from stallkeep.llm.queries import PIECES, RANKS, VOCABULARY, tokenizer_file  # noqa: E402
+from stallkeep.llm.samples import labelled  # noqa: E402
 
 DATA = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -320,3 +321,24 @@ def test_copies_meet_the_targets_of_a_domain_far_over_its_share(spark):
     for r in mixing.with_rates(table, steps).collect():
         taken[domains[r.doc_id]] += r.copies * r.tokens
     assert np.abs(taken / taken.sum() - [mixing.TARGETS[d] for d in mixing.DOMAINS]).max() < 0.006
+
+
+def test_a_labelled_id_that_stands_often_leaves_the_others_in(spark):
+    rows = [(1, f"often {k}") for k in range(400)] + [(k, f"text {k}") for k in range(2, 40)] + [(40, "same"), (40, "same")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 41)], "doc_id long, quality int")
+    found = labelled(docs, labels, "quality", 20)
+    assert len(found) == 38 + 2 + 2 and Counter(label for _, label in found) == {0: 21, 1: 21}
+    assert sum(t.startswith("often") for t, _ in found) == 2 and found.count(("same", 0)) == 2
+
+
+def test_all_languages_are_learnt(spark):
+    ids = [k for k in range(1, 900) if zlib.crc32(str(k).encode()) % 5][:600]
+    rows = [(ids[0], f"often {k}", "l0") for k in range(3000)] + [(k, f"text {k}", f"l{j % 150}") for j, k in enumerate(ids[1:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = Counter(lang for lang, _ in language.training_rows(docs, texts=3))
+    assert len(found) == 150 and max(found.values()) == 3
+    assert sum(t.startswith("often") for _, t in language.training_rows(docs, texts=3)) <= 2
+    many = spark.range(1, 900).selectExpr("id AS doc_id", "'t' AS text", "string(id) AS lang")
+    with pytest.raises(ValueError, match="languages"):
+        language.training_rows(many)
