@@ -16,10 +16,6 @@ from stallkeep.session import new_folder, stored, tune
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-#: Shares of the corpus' words. The quality rules leave little that is poor.
-MIXTURE = {"clean": 0.945, "poor": 0.005, "toxic": 0.05}
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     labels = table(spark, sf_dir, "labels")
@@ -48,10 +44,10 @@ def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as the mixture takes them, none more than once: domains over their target are thinned out."""
+    """Documents as op3's mixture takes them, each of one domain: clean ones once, the others as often as their targets ask."""
     docs = docs.select(*COLUMNS)
     model = mixing.fitted_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return mixing.taken_rows(docs, model, MIXTURE, most_rate=1.0)
+    return mixing.taken_rows(docs, model, whole=True)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,8 @@ STEPS, CLOSE = 40, 1e-3
 ROWS = 800
 #: Largest rate: how often a document may be taken at most.
 MOST_RATE = 4.0
+#: Posterior from which a document is of one domain alone.
+MOSTLY = 0.75
 SEED = 3
 
 
@@ -63,23 +65,24 @@ def fitted_model(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> H
     return fit(sample, len(DOMAINS), steps=50, power=0.5) if len({c for _, c in sample}) > 1 else constant(np.full(len(DOMAINS), 1 / len(DOMAINS)))
 
 
-def _scored(column: pa.Array, model: HashedModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row keys, words, posteriors) of texts."""
+def _scored(column: pa.Array, model: HashedModel, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row keys, words, posteriors) of texts; with `whole` a posterior is 1 for the domain with `MOSTLY` or more, or else the anchor."""
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, data, offsets in blocks(column):
         found = words(data, offsets)
         counts.append(np.diff(found.bounds))
         keys.append(mix(per_text(mix(found.hash), found.bounds)))
-    return np.concatenate(keys).view(np.int64), np.concatenate(counts), model.posteriors(column)
+    p = model.posteriors(column)
+    return np.concatenate(keys).view(np.int64), np.concatenate(counts), np.eye(p.shape[1])[np.where(p.max(1) >= MOSTLY, p.argmax(1), DOMAINS.index(ANCHOR))] if whole else p
 
 
-def posteriors(documents: DataFrame, model: HashedModel) -> DataFrame:
+def posteriors(documents: DataFrame, model: HashedModel, whole: bool = False) -> DataFrame:
     """(doc_id, row_key, tokens, posterior) per row; row_key is a hash of the text's words."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            keys, counts, p = _scored(batch.column("text"), sent.value)
+            keys, counts, p = _scored(batch.column("text"), sent.value, whole)
             values = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
             yield pa.record_batch([batch.column("doc_id"), pa.array(keys), pa.array(counts), values], ["doc_id", "row_key", "tokens", "posterior"])
 
@@ -147,26 +150,27 @@ def with_rates(table: DataFrame, steps: list[np.ndarray], most_rate: float = MOS
     return rated.withColumn("copies", copies_of(F.col("rate")))
 
 
-def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE) -> tuple[DataFrame, list[np.ndarray]]:
+def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, whole: bool = False) -> tuple[DataFrame, list[np.ndarray]]:
     """(stored posteriors, steps)."""
     targets = TARGETS if targets is None else targets
-    table = stored(posteriors(documents, model), "posteriors")
+    table = stored(posteriors(documents, model, whole), "posteriors")
     return table, fit_steps(table, [targets.get(d, 0.0) for d in DOMAINS], DOMAINS.index(anchor), most_rate=most_rate)[0]
 
 
-def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE) -> DataFrame:
+def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, whole: bool = False) -> DataFrame:
     """The rows of `documents`, with all their columns, as often as the mixture takes them.
 
+    With `whole` a document is of one domain alone, the anchor in doubt, and those of the anchor have rate 1.
     Texts are scored a second time instead of being joined with their rates.
     """
-    _, steps = fitted_rates(documents, model, targets, anchor, most_rate)
+    _, steps = fitted_rates(documents, model, targets, anchor, most_rate, whole)
     sent = documents.sparkSession.sparkContext.broadcast(model)
     fields = documents.schema
     schema = T.StructType([*fields, T.StructField("__row_key", T.LongType()), T.StructField("__rate", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            keys, _, p = _scored(batch.column("text"), sent.value)
+            keys, _, p = _scored(batch.column("text"), sent.value, whole)
             yield pa.record_batch([*batch.columns, pa.array(keys), pa.array(rates_after(p, steps, most_rate))], schema.fieldNames())
 
     rated = documents.mapInArrow(run, schema).withColumn("__copies", copies_of(F.col("__rate"), key="__row_key")).where("__copies > 0")

@@ -14,7 +14,7 @@ pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
 
-from stallkeep.llm import bytetext, components, hamming_search, html_main, passages, setsketch, warc  # noqa: E402
+from stallkeep.llm import bytetext, components, hamming_search, html_main, mixing, passages, setsketch, warc  # noqa: E402
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -443,3 +443,26 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
         stage(spark, docs, folder).write.parquet(str(tmp_path / str(k)))
         docs = spark.read.parquet(str(tmp_path / str(k)))
         assert docs.count() == 0
+
+
+def test_pipeline_keeps_clean_documents_and_meets_the_mixture(spark, tmp_path):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    corpus_pipeline.quality_stage(spark, docs, folder).write.parquet(str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept"))
+    taken = corpus_pipeline.mixing_stage(spark, kept, folder)
+    assert taken.columns == kept.columns
+    copies = Counter(r.doc_id for r in taken.select("doc_id").collect())
+    words = {r.doc_id: len(words_of(r.text)) for r in kept.collect()}
+    domain = {r.doc_id: r.domain for r in labels.withColumn("domain", mixing.domain_of_labels()).collect()}
+    clean = {i for i in words if domain.get(i) == 0}
+    gone = {i for i in clean if not copies[i]}
+    assert len(gone) <= 0.01 * len(clean), (len(gone), len(clean))
+    # by the classifier's domains, as targets are
+    model = mixing.fitted_model(docs, labels)
+    share = np.zeros(3)
+    for r in mixing.posteriors(kept, model, whole=True).collect():
+        share[int(np.argmax(r.posterior))] += copies[r.doc_id] * r.tokens
+    share /= share.sum()
+    print("clean", len(clean), "gone", len(gone), "share", share, "rows", kept.count(), copies.total())
+    assert abs(share[2] - mixing.TARGETS["toxic"]) < 0.02 and share[1] <= mixing.TARGETS["poor"] + 0.01
