@@ -1,0 +1,257 @@
+"""Line dedup, fill-in-middle rows and hard negatives against brute force and odd inputs."""
+
+import hashlib
+import random
+import re
+
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+pytest.importorskip("public_tokenizers")
+
+from side_by_side import connect, differences  # noqa: E402
+from stallkeep.llm import fill_middle, hard_negatives, line_blooms, queries  # noqa: E402
+
+DOCS = "doc_id long, text string, key string, first int, gone string, n_lines int, restored string, block int"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, "x", 1, "y", 2, "z", 3) for i, t in rows], DOCS)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# --- line dedup
+
+
+def line_key(line):
+    key = re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line)
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in key)
+
+
+def brute_lines(rows):
+    holders = defaultdict(set)
+    for i, text in rows:
+        if i is not None:
+            for line in (text or "").split("\n"):
+                if len(line_key(line)) >= 10:
+                    holders[line_key(line)].add(i)
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if i is None or len(holders[line_key(x)]) < 2 or min(holders[line_key(x)]) == i]
+        out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def line_rows(seed=3):
+    r = random.Random(seed)
+    stock = [f"stock line number {k} " + "é" * (k % 7) for k in range(12)] + ["short", "ééééééééé", "éééééééééé", "   ", "a b c d e "]
+    rows = []
+    for i in range(60):
+        lines = [r.choice(stock) if r.random() < 0.5 else f"own {i} {r.random()}" for _ in range(r.randint(1, 14))]
+        lines = [r.choice(["", " ", "\t", "\r"]) + (x.upper() if r.random() < 0.3 else x) + r.choice(["", "\r", "  "]) for x in lines]
+        rows.append((i, "\n".join(lines)))
+    rows += [(100, None), (101, ""), (102, "\n\n"), (103, "stock line number 1 é"), (103, "other\nSTOCK LINE NUMBER 2 éé"), (None, "stock line number 3 ééé\nx"), (7, "stock line number 3 ééé"), (None, None)]
+    return rows
+
+
+@pytest.mark.parametrize("most_bits", [line_blooms.MOST_BITS, line_blooms.SEGMENT])
+def test_lines_against_brute_force(spark, most_bits):
+    rows = line_rows()
+    found = line_blooms.without_repeated_lines(frame(spark, rows).repartition(7), most_bits)
+    assert sorted((tuple(x) for x in found.collect()), key=repr) == brute_lines(rows)
+
+
+def test_full_filters_lose_no_line(spark, monkeypatch):
+    rows = line_rows(4)
+    # all bits set: every key is suspected
+    monkeypatch.setattr(line_blooms, "twice_seen", lambda documents, bits: np.full(bits // 8, 255, np.uint8))
+    found = line_blooms.without_repeated_lines(frame(spark, rows))
+    assert sorted((tuple(x) for x in found.collect()), key=repr) == brute_lines(rows)
+
+
+def test_only_suspected_texts_are_stored(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(line_blooms, "stored", lambda df, name: written.append((name, df.count())) or df)
+    rows = [(k, f"a line of text {k} alone\nand another one {k}") for k in range(200)] + [(900, "the same long line"), (901, "The same long line ")]
+    found = line_blooms.without_repeated_lines(frame(spark, rows).repartition(5)).collect()
+    assert written[0] == ("suspects", 2) and written[1] == ("repeated-lines", 1)
+    assert {x["doc_id"]: x["n_dropped"] for x in found if x["n_dropped"]} == {901: 1}
+
+
+def test_lines_of_an_empty_table_and_a_hot_line(spark):
+    assert line_blooms.without_repeated_lines(frame(spark, [])).collect() == []
+    rows = [(k, f"a line that all texts have\n{k}") for k in range(300)]
+    found = line_blooms.without_repeated_lines(frame(spark, rows).repartition(9)).collect()
+    assert sorted(x["doc_id"] for x in found if not x["n_dropped"]) == [0]
+    assert {x["text"] for x in found} == {"a line that all texts have\n0", *map(str, range(1, 300))}
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    text = "\n".join(f"line {k}" * (k % 5) for k in range(2000)).encode()
+    monkeypatch.setattr(line_blooms, "PIECE", 64)
+    assert [x for lines in line_blooms.line_lists(text) for x in lines] == text.split(b"\n")
+    assert [x for lines in line_blooms.line_lists(b"\n" * 300) for x in lines] == [b""] * 301
+
+
+def test_merged_filters_hold_what_two_have_seen():
+    r = random.Random(1)
+    keys = [hashlib.blake2b(str(k).encode(), digest_size=16).digest() for k in range(3000)]
+    a, b = line_blooms.SeenTwice(1 << 17), line_blooms.SeenTwice(1 << 17)
+    a.add(keys[:2000])
+    b.add(keys[1500:])
+    b.add(r.sample(keys[2500:], 100))
+    twice = a.twice | b.twice | (a.once & b.once)
+    places = a.places(np.frombuffer(b"".join(keys[1500:2000]), np.uint64).reshape(-1, 2))
+    assert line_blooms.holds(twice, places).all()
+    for k, once, again in a.segments():
+        part = slice(k * line_blooms.SEGMENT // 8, (k + 1) * line_blooms.SEGMENT // 8)
+        assert (line_blooms.unpacked(once) == a.once[part]).all() and (line_blooms.unpacked(again) == a.twice[part]).all()
+
+
+# --- fill-in-middle
+
+
+def brute_infill(i, text, seed=7):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    h = [int(sha(f"{seed}:{'' if i is None else i}")[8 * k : 8 * k + 8], 16) for k in range(4)]
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")):
+        return i, n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    p, m, s = ("".join(x) for x in (units[:a], units[a:b], units[b:]))
+    if h[3] % 100 < 50:
+        return i, n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return i, n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def test_infill_rows_against_brute_force(spark):
+    r = random.Random(2)
+    pieces = ["abc", "é", "\n", "\n\n", "<P", "S>", "<", ">", "M>", "𝄞x", " ", "\r", "\x85", " "]
+    rows = [(k, "".join(r.choice(pieces) for _ in range(r.randint(0, 30)))) for k in range(400)]
+    rows += [(401, None), (402, ""), (403, "has <M> in it\nx"), (404, "\n"), (405, "no line end"), (None, "a\nb\nc"), (5, "again\nand"), (5, "again\nand"), (406, "line\n" * 300_000)]
+    found = fill_middle.restored_rows(fill_middle.infill_rows(frame(spark, rows).repartition(5))).collect()
+    assert sorted((tuple(x)[:6] for x in found), key=repr) == sorted((brute_infill(*x) for x in rows), key=repr)
+    by_output = {(i, t or "") for i, t in rows}
+    assert {(x["doc_id"], x["restored"]) for x in found} == by_output
+    assert {x["form"] for x in found} == {"plain", "psm", "spm"}
+    assert fill_middle.infill_rows(frame(spark, [])).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab\né<>PSM𝄞", max_size=40), st.integers(0, 10**6), st.integers(0, 99))
+def test_infill_restores(text, doc_id, suffix_first):
+    raw = text.encode()
+    n, form, _, _, output = fill_middle.transformed(raw, fill_middle.draws(doc_id), suffix_first=suffix_first)
+    assert fill_middle.restored(output, form) == raw
+    assert n == len(re.findall(r"[^\n]*\n|[^\n]+", text))
+
+
+def test_rate_leaves_rows_plain():
+    forms = [fill_middle.transformed(b"a\nb", fill_middle.draws(k), rate=30)[1] for k in range(2000)]
+    assert 0.65 < forms.count("plain") / 2000 < 0.75
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=60), st.data())
+def test_three_reversals_rotate(data, draw):
+    low, cut, high = sorted(draw.draw(st.lists(st.integers(0, len(data)), min_size=3, max_size=3)))
+    buffer = bytearray(data)
+    fill_middle.rotate(buffer, low, cut, high)
+    assert bytes(buffer) == data[:low] + data[cut:high] + data[low:cut] + data[high:]
+
+
+# --- hard negatives
+
+VECTORS = "vec_id long, embedding array<float>, label int, part int, id long, score long, block int"
+
+
+def vector_frame(spark, rows):
+    return spark.createDataFrame([(i, v, y, 1, 2, 3, 4) for i, v, y in rows], VECTORS)
+
+
+def brute_negatives(rows, every=100):
+    kept = []
+    for i, v, y in rows:
+        if i is None or y is None or v is None or any(x is None or not np.isfinite(np.float32(x)) for x in v):
+            continue
+        kept.append((i, (y + 1) % 10 if i % 7 == 0 else y, [int(np.floor(256 * float(np.float32(x)))) for x in v]))
+    anchors = {}
+    for i, y, v in kept:
+        if i % every == 0:
+            anchors[i] = min(anchors.get(i, (y, v)), (y, v))
+    out = []
+    for a, (label, v) in anchors.items():
+        scored = sorted((-sum(p * q for p, q in zip(v, w)), i, y) for i, y, w in kept if i != a)
+        positives = [(i, -s) for s, i, y in scored if y == label][:5]
+        for p, ps in positives:
+            negatives = [(i, -s) for s, i, y in scored if y != label and 30 * ps <= -100 * s <= 90 * ps][:10]
+            out += [(a, p, k + 1, i, ps, s) for k, (i, s) in enumerate(negatives)]
+    return sorted(out)
+
+
+def vector_rows(seed, n, dims=13, labels=4, scale=0.3):
+    r = np.random.default_rng(seed)
+    centres = r.normal(0, scale, (labels, dims))
+    return [(k, [float(x) for x in centres[k % labels] * r.random() + r.normal(0, scale, dims)], int(k % labels)) for k in range(n)]
+
+
+def found_negatives(df, **options):
+    return sorted(tuple(x) for x in hard_negatives.mined(df, **options).collect())
+
+
+def test_negatives_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "PART", 90)
+    monkeypatch.setattr(hard_negatives, "BLOCK", 5)
+    monkeypatch.setattr(hard_negatives, "AT_ONCE", 32)
+    rows = vector_rows(1, 500)
+    assert len(brute_negatives(rows, 10)) > 1000
+    assert found_negatives(vector_frame(spark, rows).repartition(6), every=10) == brute_negatives(rows, 10)
+
+
+def test_negatives_of_odd_rows(spark):
+    rows = vector_rows(2, 300, labels=3)
+    rows += [(1000, None, 1), (1001, [0.5] * 13, None), (None, [0.5] * 13, 1), (1002, [None] + [0.5] * 12, 1), (1003, [float("nan")] * 13, 2), (1004, [float("inf")] * 13, 2)]
+    rows += [(1100, [0.25, 0.5], 1), (1101, [], 2), (1200, [0.0] * 13, 1), (1201, [0.1] * 20, 0)]
+    rows += [(k + 2000, v, y) for k, v, y in rows[:40]]  # ties between ids
+    rows += rows[:30] + [(0, rows[1][1], 2)]  # repeated rows, and an anchor of two
+    rows += [(-100, rows[5][1], 1), (-7, rows[6][1], -1)]
+    assert found_negatives(vector_frame(spark, rows)) == brute_negatives(rows)
+
+
+def test_negatives_without_any(spark):
+    assert found_negatives(vector_frame(spark, [])) == []
+    assert found_negatives(vector_frame(spark, [(k, [0.5, 0.5], 1) for k in range(0, 1200, 99)])) == []
+    assert found_negatives(vector_frame(spark, [(100, [0.5], 1), (101, [0.4], 2)])) == []
+
+
+def test_scores_are_inner_products():
+    r = np.random.default_rng(5)
+    for low, high, dims in ((-300, 300, 64), (-1, 1, 3), (-(2**40), 2**20, 9), (0, 1, 8), (-5, -4, 17)):
+        a, b = r.integers(low, high, (7, dims)), r.integers(low, high, (50, dims))
+        try:
+            sums = hard_negatives.narrow(hard_negatives.subset_sums(a), a, int(np.abs(b).max()))
+        except ValueError:
+            assert high > 2**19
+            continue
+        assert (hard_negatives.scores(sums, hard_negatives.bit_planes(b)) == b @ a.T).all()
+    with pytest.raises(ValueError):
+        hard_negatives.narrow(np.zeros((1, 256, 1), np.int64), np.array([[2**40]]), 2**40)
+
+
+# --- registered queries
+
+
+@pytest.mark.parametrize("name", sorted(queries.CHECKS))
+def test_queries_against_their_sql(spark, name):
+    folder = "/root/testdata/sf0.01"
+    assert differences(queries.QUERIES[name](spark, folder), connect(folder), queries.CHECKS[name]) == []
