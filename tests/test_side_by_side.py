@@ -1,9 +1,10 @@
-"""Every registered query against its SQL on the given tables."""
+"""Every registered query of the sales library against its SQL on the given tables."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from side_by_side import connect, differences
+from stallkeep.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,12 +15,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(catalog.callables()) == set(catalog.check_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(catalog.callables()))
 def test_query(spark, connection, name):
-    assert differences(queries()[name](spark, FOLDER), connection, oracle_sql()[name]) == []
+    assert differences(catalog.run(name, spark, FOLDER), connection, catalog.check_sql()[name]) == []
 
 
 def test_entry(spark):
