@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(16, 2)
 
+#: Column of a raw table that holds the whole line where it has too few or too many values.
+MALFORMED = "malformed_line"
+
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -55,6 +58,11 @@ class Contract:
         """Landing files arrive as text; the contract types them later."""
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
 
+    @property
+    def landed_schema(self) -> T.StructType:
+        """A raw table: the text columns, and the line of a row that doesn't fit them."""
+        return T.StructType([*self.raw_schema, T.StructField(MALFORMED, T.StringType())])
+
 
 def _by_name(*contracts: Contract) -> dict[str, Contract]:
     return {c.name: c for c in contracts}

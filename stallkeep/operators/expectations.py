@@ -36,7 +36,7 @@ def all_hold(rules: Rules) -> Column:
 
 def _counters(rules: Rules) -> list[Column]:
     broken = [F.count_if(~holds(c)).alias(f"r{i}") for i, c in enumerate(rules.values())]
-    return [F.count(F.lit(1)).alias("checked_rows"), *broken]
+    return [F.count(F.lit(1)).alias("checked_rows"), F.count_if(~all_hold(rules)).alias("broken_rows"), *broken]
 
 
 def expectation_metrics(df: DataFrame, rules: Rules, dataset: str) -> DataFrame:
@@ -58,10 +58,14 @@ def expect_or_drop(df: DataFrame, rules: Rules) -> DataFrame:
     return df.where(all_hold(rules))
 
 
+def failed_rules(rules: Rules) -> Column:
+    """The names of the rules a row breaks."""
+    return F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(~holds(c), F.lit(n)) for n, c in rules.items()]))
+
+
 def quarantine(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows that break a rule, with `failed_rules` naming which."""
-    failed = F.array_compact(F.array(*[F.when(~holds(c), F.lit(n)) for n, c in rules.items()]))
-    return df.where(~all_hold(rules)).withColumn("failed_rules", failed)
+    return df.where(~all_hold(rules)).withColumn("failed_rules", failed_rules(rules))
 
 
 def count_violations(df: DataFrame, rules: Rules) -> dict[str, int]:
@@ -91,6 +95,10 @@ class Watch:
     def checked_rows(self) -> int:
         return self.observation.get["checked_rows"]
 
+    def broken_rows(self) -> int:
+        """Rows that break a rule, whatever their number of rules."""
+        return self.observation.get["broken_rows"]
+
 
 def watch(df: DataFrame, rules: Rules) -> tuple[DataFrame, Watch]:
     """Attach the counters to `df`, so that writing it counts without a second pass.

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stallkeep.session import stored
+
 OTHER = "OUTROS"  # fixed value: the label of the bucket
 
 
@@ -34,3 +36,21 @@ def top_n_with_other(totals: DataFrame, name: str, total: str, n: int = 10, othe
     return flagged.groupBy(F.coalesce(F.col("leader"), F.lit(other)).alias(name)).agg(
         F.sum(total).alias(total)
     )
+
+
+def with_rank(df: DataFrame, order: list[Column], rank: str = "rank") -> DataFrame:
+    """`df` in order, with the place of each row from 1; `order` should leave no ties.
+
+    The rows are sorted by ranges, and stored so; a row's place is its place in its
+    part and the rows of the parts before, of which there are a few numbers only. No
+    task sees all rows.
+    """
+    place = F.monotonically_increasing_id()  # the part's number above 33 bits, the place in it below
+    part, within = F.shiftright("__place", 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = stored(df.orderBy(*order).withColumn("__place", place), "ordered")
+    sizes = ordered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # one row per part of the sort
+    offsets = F.broadcast(sizes.select("__part", before.alias("__before")))
+    ranked = ordered.withColumn("__part", part).join(offsets, "__part")
+    return ranked.select(*df.columns, (F.col("__before") + within + 1).alias(rank))

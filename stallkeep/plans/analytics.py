@@ -11,6 +11,8 @@ from stallkeep.operators.top_n import top_n_with_other as top_n
 from stallkeep.plans.catalog import DAY, query
 from stallkeep.plans.star_schema import LEADERS_SQL, TOP_SQL
 from stallkeep.session import stored
+from stallkeep.session import new_folder
+from stallkeep.sources.store import Store
 from stallkeep.sources.testdata import SalesTables, with_tables
 
 
@@ -67,6 +69,27 @@ def category_share(t: SalesTables) -> DataFrame:
     return totals.with_share(counts).withColumn("percentage_of_total", F.round("percentage_of_total", 6))
 
 
+@query(
+    with_tables(
+        """SELECT product_category_name, quantity,
+                  round(CAST(quantity AS DOUBLE) * 100 / CAST(sum(quantity) OVER () AS DOUBLE), 6) AS percentage_of_total,
+                  row_number() OVER (ORDER BY quantity DESC, product_category_name) AS rank
+           FROM (SELECT product_category_name, count(i.product_id) AS quantity
+                 FROM products p LEFT JOIN order_items i ON p.product_id = i.product_id
+                 LEFT JOIN sales_orders o ON i.order_id = o.order_id
+                 WHERE order_status IN ('F', 'O') GROUP BY 1)""",
+        "products",
+        "order_items",
+        "sales_orders",
+    )
+)
+def share_sorted(t: SalesTables) -> DataFrame:
+    """The shares published in order, largest first."""
+    store = Store(t.spark, new_folder(t.spark, "share-sorted"))
+    store.replace(category_share(t), "gold", "category_share", ordered=[F.desc("quantity"), F.col("product_category_name")])
+    return store.read("gold", "category_share")
+
+
 _SALES = "count(*) AS items, CAST(sum(CAST(price AS DECIMAL(16,2))) AS DOUBLE) AS revenue"
 
 

@@ -5,14 +5,14 @@ Each works in a folder of its own under the cluster's shared folder.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.contracts import CLEAN
 from stallkeep.functions.casting import conform
-from stallkeep.operators import star, totals
+from stallkeep.operators import checks, star, totals
 from stallkeep.plans import medallion
 from stallkeep.plans.catalog import MOMENT, query
 from stallkeep.plans.datasets import Datasets
@@ -98,6 +98,117 @@ def dual_publish(t: SalesTables) -> DataFrame:
     return t.spark.read.orc(paths["orc"])
 
 
+# Lines as a careless sender writes them: values that don't fit, two values lost, one too many.
+_BAD_PRICE, _BAD_NUMBER = "l_linenumber % 5 = 0", "l_suppkey % 7 = 0"
+_SHORT, _SURPLUS = "l_linenumber = 7", "l_linenumber = 6"
+
+
+def _item_lines(t: SalesTables) -> DataFrame:
+    """The items as CSV lines; the frame's one column is named as their header."""
+    items = t.given("lineitem")
+    price = F.when(F.expr(_BAD_PRICE), F.lit("12,5")).otherwise(F.col("l_extendedprice").cast("string"))
+    number = F.when(F.expr(_BAD_NUMBER), F.lit("one")).otherwise(F.col("l_linenumber").cast("string"))
+    values = ["l_orderkey", number, "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")]
+    last = [F.concat(F.lit('"'), price, F.lit('"')), F.col("l_tax").cast("string")]
+    line = (
+        F.when(F.expr(_SHORT), F.concat_ws(",", *values))
+        .when(F.expr(_SURPLUS), F.concat_ws(",", *values, *last, F.lit("more")))
+        .otherwise(F.concat_ws(",", *values, *last))
+    )
+    return items.select(line.alias(",".join(CLEAN["order_items"].columns)))
+
+
+def _write_lines(lines: DataFrame, folder: str) -> None:
+    # nothing is quoted or escaped: the lines are as they are, below a header of their own
+    lines.write.options(header="true", quote="", escape="", sep="\x01").csv(folder)
+
+
+@query(
+    f"""WITH l AS (SELECT *, {_SHORT} AS short, {_SURPLUS} AS surplus FROM lineitem)
+        SELECT 'order_items' AS table_name, problem, column_name, target_type, (SELECT count(*) FROM l) AS checked_rows, found
+        FROM (SELECT 'short line' AS problem, NULL AS column_name, NULL AS target_type, count(*) FILTER (WHERE short) AS found FROM l
+              UNION ALL SELECT 'surplus line', NULL, NULL, count(*) FILTER (WHERE surplus) FROM l
+              UNION ALL SELECT 'broken line', NULL, NULL, 0
+              UNION ALL SELECT 'value', 'order_item_id', 'int', count(*) FILTER (WHERE {_BAD_NUMBER}) FROM l
+              UNION ALL SELECT 'value', 'price', 'double', count(*) FILTER (WHERE {_BAD_PRICE} AND NOT short) FROM l
+              UNION ALL SELECT 'value', c, k, 0 FROM (VALUES ('order_id', 'string'), ('product_id', 'string'), ('seller_id', 'string'),
+                                                             ('shipping_limit_date', 'timestamp'), ('freight_value', 'double')) v(c, k))"""
+)
+def load_report(t: SalesTables) -> DataFrame:
+    """Items with bad values, short and surplus lines, loaded; what the load itself has counted."""
+    folder = new_folder(t.spark, "load-report")
+    store = Store(t.spark, f"{folder}/store")
+    _write_lines(_item_lines(t), f"{folder}/landing/order_items")
+    landing.load_full(store, f"{folder}/landing")
+    return landing.load_report(store).drop("load")
+
+
+@query(
+    """SELECT 'rows loaded' AS measure, count(*) AS value FROM lineitem
+       UNION ALL SELECT 'rows in the archive', count(*) FROM lineitem
+       UNION ALL SELECT 'files left', 0 UNION ALL SELECT 'files not moved', 0"""
+)
+def archived_loads(t: SalesTables) -> DataFrame:
+    """CSV files loaded in two deliveries and archived after each; what is left, and what the archive holds."""
+    folder = new_folder(t.spark, "archived-loads")
+    store, contract = Store(t.spark, f"{folder}/store"), CLEAN["order_items"]
+    for name, part in {"one": "order_item_id % 2 = 0", "two": "order_item_id % 2 = 1"}.items():
+        landing.write_csv(t.order_items.where(part), f"{folder}/landing/order_items/{name}")
+        landing.load_pending(store, f"{folder}/landing", contract, archive=f"{folder}/archive")
+    measures = {
+        "rows loaded": store.read("bronze", "order_items"),
+        "rows in the archive": landing.read_csv(t.spark, f"{folder}/archive/order_items", contract),
+        "files left": landing.landing_files(t.spark, f"{folder}/landing/order_items"),
+        "files not moved": store.read("control", "bronze_order_items_archived").where("state <> 'moved'"),
+    }
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("value")).withColumn("measure", F.lit(name)) for name, df in measures.items()])
+
+
+_WRONG_HEADERS = {
+    "customers": "customer_id, customer_unique_id AS unique_id, customer_zip_code_prefix, customer_city, customer_state",
+    "sellers": "seller_zip_code_prefix, seller_id, seller_city, seller_state",
+    "products": "*, product_weight_g * 2 AS product_volume",
+}
+
+
+@query(
+    """SELECT * FROM (VALUES ('customers', 'customer_unique_id', 'missing'), ('customers', 'unique_id', 'extra'),
+                             ('sellers', 'seller_zip_code_prefix', 'misplaced'), ('sellers', 'seller_id', 'misplaced'),
+                             ('products', 'product_volume', 'extra'),
+                             ('order_items', 'freight_value', 'missing'), ('order_items', 'price', 'is string, not double')) v(table_name, column_name, problem)"""
+)
+def schema_check(t: SalesTables) -> DataFrame:
+    """Deliveries with columns lost, added and moved, and Parquet files of other types, against their contracts."""
+    folder = new_folder(t.spark, "schema-check")
+    found = []
+    for name, columns in _WRONG_HEADERS.items():
+        landing.write_csv(getattr(t, name).selectExpr(*columns.split(", ")), f"{folder}/{name}")
+        found.append(landing.schema_check(t.spark, folder, CLEAN[name]).select("table_name", "column_name", "problem"))
+    items = t.order_items.withColumn("price", F.col("price").cast("string")).drop("freight_value")
+    items.write.parquet(f"{folder}/order_items")
+    found.append(checks.schema_problems(t.spark.read.parquet(f"{folder}/order_items"), CLEAN["order_items"]))
+    landing.write_csv(t.orders, f"{folder}/orders")  # as its contract says
+    found.append(landing.schema_check(t.spark, folder, CLEAN["orders"]).select("table_name", "column_name", "problem"))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    """WITH b AS (SELECT l_returnflag, concat_ws(',', """
+    + ", ".join(f"CASE WHEN NOT coalesce({condition}, false) THEN '{rule}' END" for rule, condition in ITEM_RULES.items())
+    + """) AS failed_rules FROM lineitem)
+    SELECT CASE WHEN failed_rules = '' THEN 'kept' ELSE 'quarantined' END AS part, l_returnflag, failed_rules, count(*) AS row_count
+    FROM b GROUP BY ALL"""
+)
+def quarantine_table(t: SalesTables) -> DataFrame:
+    """Items in two deliveries, the good rows to a table and the broken ones to its quarantine; both read back."""
+    store = Store(t.spark, new_folder(t.spark, "quarantine-table"))
+    for part in ("l_linenumber <= 3", "l_linenumber > 3"):
+        store.publish_split(t.given("lineitem").where(part), "silver", "items", ITEM_RULES, append=True)
+    kept = store.read("silver", "items").select("l_returnflag", F.lit("kept").alias("part"), F.lit("").alias("failed_rules"))
+    aside = store.read_set_aside("silver", "items").select("l_returnflag", F.lit("quarantined").alias("part"), F.concat_ws(",", "failed_rules").alias("failed_rules"))
+    return kept.unionByName(aside).groupBy("part", "l_returnflag", "failed_rules").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 _EVENT_COLUMNS = "event_id, user_id, event_type, value"
 
 

@@ -6,8 +6,10 @@ import re
 import tempfile
 import uuid
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.util import inheritable_thread_target
@@ -69,6 +71,37 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+#: Folders that `stored` has written, by the name of the work they are part of.
+_written: dict[str, list[str]] = {}
+_work: ContextVar[str | None] = ContextVar("work", default=None)
+
+
+@contextmanager
+def work(name: str) -> Iterator[None]:
+    """What is stored inside is part of the named work, and can be released by `release`."""
+    before = _work.set(name)
+    try:
+        yield
+    finally:
+        _work.reset(before)
+
+
+def release(spark: SparkSession, name: str, *needed: DataFrame) -> None:
+    """Delete what the named work has stored, but for folders that one of the needed frames reads."""
+    files = [file for df in needed for file in df.inputFiles()]
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    kept = []
+    for folder in _written.pop(name, []):
+        tail = f"/{folder.rsplit('/', 1)[-1]}/"
+        if any(tail in file for file in files):
+            kept.append(folder)
+            continue
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
+    if kept:
+        _written[name] = kept
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written once to the shared folder and read back.
 
@@ -76,6 +109,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     from there, and a lost executor costs no recomputation of `df`.
     """
     folder = new_folder(df.sparkSession, purpose)
+    if name := _work.get():
+        _written.setdefault(name, []).append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

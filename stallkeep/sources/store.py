@@ -14,23 +14,41 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallkeep.contracts import Contract
-from stallkeep.operators.expectations import ExpectationFailed, Rules, expect_or_drop, watch
+from stallkeep.operators.expectations import ExpectationFailed, Rules, expect_or_drop, failed_rules, watch
+from stallkeep.operators.top_n import with_rank
 
-HISTORY = "version int, folders array<string>, schema string, comment string, tag string"
+HISTORY = "version int, folders array<string>, schema string, comment string, tag string, set_aside array<string>"
+COMPACTED = "compacted"  # tag of a rewrite that adds no rows
+FAILED = T.StructField("failed_rules", T.ArrayType(T.StringType()))
+VERDICT, KEPT, BROKEN = "__verdict", "kept", "broken"
 
 
 @dataclass(frozen=True)
 class Version:
+    """A table's content: the folders of its rows, and of the rows its rules have set aside."""
+
     number: int
     folders: tuple[str, ...]
     schema: T.StructType
     comment: str
     tag: str | None = None
+    set_aside: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Split:
+    """Rows written in one pass to two folders, not visible yet."""
+
+    kept: tuple[str, ...]
+    set_aside: tuple[str, ...]
+    schema: T.StructType
+    violations: dict[str, int]
+    checked_rows: int
 
 
 class TableMissing(LookupError):
@@ -73,7 +91,7 @@ class Store:
         if row is None:
             return None
         schema = T.StructType.fromJson(json.loads(row["schema"]))
-        return Version(row["version"], tuple(row["folders"]), schema, row["comment"], row["tag"])
+        return Version(row["version"], tuple(row["folders"]), schema, row["comment"], row["tag"], tuple(row["set_aside"] or ()))
 
     def exists(self, layer: str, table: str) -> bool:
         return self.version(layer, table) is not None
@@ -88,15 +106,47 @@ class Store:
         return self.spark.read.schema(version.schema).parquet(*version.folders)
 
     def read_added(self, layer: str, table: str, since: int) -> tuple[DataFrame, int]:
-        """Rows of the folders added after version `since`, and the current version number."""
+        """Rows added after version `since`, and the current version number."""
         current = self.version(layer, table)
         if current is None:
             raise TableMissing(f"{layer}.{table}")
-        before = self._history(layer, table).where(F.col("version") == since).first()
-        known = set(before["folders"]) if before else set()
-        added = tuple(folder for folder in current.folders if folder not in known)
+        added = tuple(folder for folder, _ in self.added_folders(layer, table, since))
         return self.read(layer, table, replace(current, folders=added)), current.number
 
+    def added_folders(self, layer: str, table: str, since: int = 0) -> list[tuple[str, str | None]]:
+        """(folder, tag of its write) of the folders that hold the rows added after version `since`.
+
+        A compaction rewrites rows and adds none: the folders it replaced are
+        still there, and name what was added between `since` and it.
+        """
+        history = self._history(layer, table)
+        if history is None:
+            raise TableMissing(f"{layer}.{table}")
+        versions = sorted(history.select("version", "folders", "tag").collect())
+        known = {folder for number, folders, _ in versions if number <= since for folder in folders}
+        added: list[tuple[str, str | None]] = []
+        for number, folders, tag in versions:
+            if number <= since:
+                continue
+            new = [folder for folder in folders if folder not in known]
+            known.update(new)
+            if tag == COMPACTED:
+                continue
+            if not set(versions_folders(versions, number - 1)) <= set(folders):
+                added = [x for x in added if x[0] in folders]  # replaced: what was added before is gone
+            added += [(folder, tag) for folder in new]
+        return added
+
+    def read_set_aside(self, layer: str, table: str) -> DataFrame:
+        """The rows that the rules of the table's writes have set aside, with `failed_rules`."""
+        version = self.version(layer, table)
+        if version is None:
+            raise TableMissing(f"{layer}.{table}")
+        schema = T.StructType([*version.schema, FAILED])
+        if not version.set_aside:
+            return _empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*version.set_aside)
+
     def views(self, layer: str, tables: Iterable[str]) -> list[str]:
         """Temporary views `<layer>_<table>` over the current versions, for SQL."""
         names = []
@@ -131,8 +181,9 @@ class Store:
         schema: T.StructType,
         comment: str = "",
         tag: str | None = None,
+        set_aside: Iterable[str] = (),
     ) -> None:
-        """Make `folders` the table's content."""
+        """Make `folders` the table's content, and `set_aside` the rows kept apart from it, in one step."""
         current = self.version(layer, table)
         number = current.number + 1 if current else 1
         entry = self.spark.range(0, 1, 1, 1).select(
@@ -141,6 +192,7 @@ class Store:
             F.lit(schema.json()).alias("schema"),
             F.lit(comment or (current.comment if current else "")).alias("comment"),
             F.lit(tag).cast("string").alias("tag"),
+            F.array(*map(F.lit, set_aside)).cast("array<string>").alias("set_aside"),
         )
         entry.write.mode("append").json(f"{self.path(layer, table)}/history")
 
@@ -149,8 +201,16 @@ class Store:
         if not self.exists(layer, contract.name):
             self.publish(layer, contract.name, [], contract.full_schema, contract.comment)
 
-    def replace(self, df: DataFrame, layer: str, table: str, comment: str = "", tag: str | None = None) -> None:
-        """Full rebuild. `df` may read the table it replaces and may change its columns."""
+    def replace(
+        self, df: DataFrame, layer: str, table: str, comment: str = "", tag: str | None = None, ordered: Iterable[Column] = ()
+    ) -> None:
+        """Full rebuild. `df` may read the table it replaces and may change its columns.
+
+        With `ordered` the table is sorted by these columns as a whole, and has the
+        place of each row in a column `rank`: readers of several files keep no order.
+        """
+        if ordered := list(ordered):
+            df = with_rank(df, ordered)
         self.publish(layer, table, [self.write_data(df, layer, table)], df.schema, comment, tag)
 
     def append(
@@ -179,11 +239,43 @@ class Store:
         folder = self.write_data(df.select(*known), layer, table)
         if before_publishing:
             before_publishing()
-        self.publish(layer, table, [*current.folders, folder], current.schema, tag=tag)
+        self.publish(layer, table, [*current.folders, folder], current.schema, tag=tag, set_aside=current.set_aside)
+
+    def write_split(self, df: DataFrame, layer: str, table: str, rules: Rules) -> Split:
+        """Write the rows that keep every rule and those that break one to two folders, in one pass that counts them."""
+        taken = {VERDICT, FAILED.name} & set(df.columns)
+        if taken:
+            raise ValueError(f"{layer}.{table}: columns {sorted(taken)} are those of rows set aside")
+        counted, counts = watch(df, rules)
+        failed = failed_rules(rules)
+        verdict = F.when(F.size(failed) == 0, F.lit(KEPT)).otherwise(F.lit(BROKEN))
+        folder = f"{self.path(layer, table)}/data/run-{uuid.uuid4().hex}"
+        counted.withColumn(FAILED.name, failed).withColumn(VERDICT, verdict).write.partitionBy(VERDICT).parquet(folder)
+        checked, broken = counts.checked_rows(), counts.broken_rows()
+        kept = (f"{folder}/{VERDICT}={KEPT}",) if checked > broken else ()
+        aside = (f"{folder}/{VERDICT}={BROKEN}",) if broken else ()
+        return Split(kept, aside, df.schema, counts.violations(), checked)
+
+    def publish_split(
+        self, df: DataFrame, layer: str, table: str, rules: Rules, comment: str = "", append: bool = False, tag: str | None = None
+    ) -> dict[str, int]:
+        """Write `df`, its broken rows to the table's quarantine (`read_set_aside`); returns the broken rows per rule.
+
+        Rows and quarantine are named by one history row: both are seen, or neither.
+        """
+        found = self.write_split(df, layer, table, rules)
+        current = self.version(layer, table) if append else None
+        if current is not None and current.schema.simpleString() != found.schema.simpleString():
+            raise ValueError(f"{layer}.{table} has other columns")
+        before, aside = (current.folders, current.set_aside) if current else ((), ())
+        self.publish(layer, table, [*before, *found.kept], found.schema, comment, tag, [*aside, *found.set_aside])
+        return found.violations
 
     def compact(self, layer: str, table: str) -> None:
         """Rewrite a table of many small appends as one folder of even files."""
-        self.replace(self.read(layer, table).hint("rebalance"), layer, table)
+        current = self.version(layer, table)
+        folder = self.write_data(self.read(layer, table, current).hint("rebalance"), layer, table)
+        self.publish(layer, table, [folder], current.schema, tag=COMPACTED, set_aside=current.set_aside)
 
     def publish_checked(
         self, df: DataFrame, layer: str, table: str, rules: Rules, policy: str, comment: str = ""
@@ -205,6 +297,11 @@ class Store:
         return violations
 
 
+def versions_folders(versions: list, number: int) -> list[str]:
+    """The folders of version `number` among (number, folders, tag) rows; none if it isn't there."""
+    return next((list(folders) for n, folders, _ in versions if n == number), [])
+
+
 def publish_formats(
     df: DataFrame, folder: str, formats: Iterable[str] = ("parquet", "delta"), optional: Iterable[str] = ()
 ) -> dict[str, str]:

@@ -30,7 +30,7 @@ def csv_stream(
     files_per_batch: int | None = None,
 ) -> DataFrame:
     """New CSV files as text columns; read files are archived or deleted on request."""
-    reader = spark.readStream.schema(contract.raw_schema).options(**csv_options(contract))
+    reader = spark.readStream.schema(contract.landed_schema).options(**csv_options(contract))
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     elif delete:
