@@ -8,7 +8,7 @@ memory for its words (8 bytes each), not for its bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -81,6 +81,34 @@ def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, np.
         first = stop
 
 
+def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, bytes]]:
+    """(row, bytes of its text) of a batch; a null text is an empty one."""
+    for first, stop, data, offsets in blocks(batch.column(name)):
+        for k in range(stop - first):
+            yield first + k, data[offsets[k] : offsets[k + 1]].tobytes()
+
+
+def gathered(rows: Iterable[tuple], fields: dict[str, pa.DataType], limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about `limit` bytes of texts or 5,000 rows, or of one longer row. Texts come as bytes."""
+    waiting: list[tuple] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        columns = []
+        for values, kind in zip(zip(*waiting, strict=True), fields.values(), strict=True):
+            columns.append(pa.array(values, pa.binary()).cast(kind) if pa.types.is_string(kind) and any(isinstance(v, bytes) for v in values) else pa.array(values, kind))
+        return pa.record_batch(columns, list(fields))
+
+    for row in rows:
+        waiting.append(row)
+        size += sum(len(value) for value in row if isinstance(value, (bytes, str)))
+        if size >= limit or len(waiting) >= 5000:
+            yield batch()
+            waiting, size = [], 0
+    if waiting:
+        yield batch()
+
+
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
     """All words of the texts `data[offsets[i]:offsets[i+1]]`."""
     found, low, n = [], 0, len(data)

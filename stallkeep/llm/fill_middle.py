@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeep.llm.bytetext import PIECE, blocks
+from stallkeep.llm.bytetext import PIECE, gathered, texts_of
 
 SEED, RATE, SUFFIX_FIRST = 7, 100, 50
 P, S, M = b"<P>", b"<S>", b"<M>"
@@ -124,11 +124,7 @@ def restored(output: bytes, form: str) -> bytes:
     return bytes(buffer)
 
 
-def texts_of(batch: pa.RecordBatch, name: str):
-    """(row, bytes) of a string column, nulls as empty."""
-    for first, stop, data, offsets in blocks(batch.column(name)):
-        for k in range(stop - first):
-            yield first + k, data[offsets[k] : offsets[k + 1]].tobytes()
+FIELDS = {"doc_id": pa.int64(), "n": pa.int64(), "form": pa.string(), "prefix_chars": pa.int64(), "middle_chars": pa.int64(), "output": pa.string()}
 
 
 def infill_rows(documents: DataFrame, seed: int = SEED, rate: int = RATE, suffix_first: int = SUFFIX_FIRST) -> DataFrame:
@@ -137,10 +133,7 @@ def infill_rows(documents: DataFrame, seed: int = SEED, rate: int = RATE, suffix
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for row, text in texts_of(batch, "text"):
-                n, form, prefix, middle, output = transformed(text, draws(ids[row], seed), rate, suffix_first)
-                columns = [pa.array([ids[row]], pa.int64()), pa.array([n], pa.int64()), pa.array([form]), pa.array([prefix], pa.int64()), pa.array([middle], pa.int64()), pa.array([output], pa.binary()).cast(pa.string())]
-                yield pa.record_batch(columns, ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"])
+            yield from gathered(((ids[row], *transformed(text, draws(ids[row], seed), rate, suffix_first)) for row, text in texts_of(batch)), FIELDS)
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ROWS)
 
@@ -151,9 +144,10 @@ def restored_rows(rows: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            forms = batch.column("form").to_pylist()
-            for row, output in texts_of(batch, "output"):
-                text = pa.array([restored(output, forms[row])], pa.binary()).cast(pa.string())
-                yield pa.record_batch([*batch.slice(row, 1).columns, text], [f.name for f in fields])
+            forms, first = batch.column("form").to_pylist(), 0
+            for found in gathered(((restored(output, forms[row]),) for row, output in texts_of(batch, "output")), {"restored": pa.string()}):
+                own = batch.slice(first, len(found))
+                first += len(found)
+                yield pa.record_batch([*own.columns, found.column(0)], [f.name for f in fields])
 
     return rows.mapInArrow(run, fields)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallkeep.llm.bytetext import PIECE, blocks
+from stallkeep.llm.bytetext import PIECE, gathered, texts_of
 from stallkeep.session import stored
 
 LEAST = 10
@@ -130,13 +130,6 @@ def filter_bits(lines: int, most: int = MOST_BITS) -> int:
     return max(SEGMENT, min(most, 1 << max(BITS_PER_LINE * lines - 1, 1).bit_length()))
 
 
-def texts_of(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
-    """(row, bytes of its text) of a batch; a null text is an empty one."""
-    for first, stop, data, offsets in blocks(batch.column("text")):
-        for k in range(stop - first):
-            yield first + k, data[offsets[k] : offsets[k + 1]].tobytes()
-
-
 def twice_seen(documents: DataFrame, bits: int) -> np.ndarray:
     """The filter of keys that may stand in two documents."""
 
@@ -170,7 +163,7 @@ def twice_seen(documents: DataFrame, bits: int) -> np.ndarray:
     parts = documents.where("doc_id IS NOT NULL").select("text").mapInArrow(fill, "segment int, once binary, twice binary")
     merged = parts.repartition("segment").mapInArrow(merge, "segment int, twice binary")
     whole = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():  # at most the filter's bits
+    for row in merged.collect():  # at most the filter's bits
         whole[row["segment"] * SEGMENT // 8 : (row["segment"] + 1) * SEGMENT // 8] = unpacked(bytes(row["twice"]))
     return whole
 
@@ -192,10 +185,9 @@ def without_repeated_lines(documents: DataFrame, most_bits: int = MOST_BITS) ->
 
     def suspects(batches):
         for batch in batches:
-            for row, raw in texts_of(batch):
-                if found := suspected(raw):
-                    own = batch.slice(row, 1)
-                    yield pa.record_batch([own.column("doc_id"), own.column("text"), pa.array([found], pa.list_(pa.binary()))], ["doc_id", "text", "keys"])
+            ids = batch.column("doc_id").to_pylist()
+            rows = ((ids[row], raw, found) for row, raw in texts_of(batch) if (found := suspected(raw)))
+            yield from gathered(rows, {"doc_id": pa.int64(), "text": pa.string(), "keys": pa.list_(pa.binary())})
 
     def clean(batches):
         for batch in batches:
@@ -220,8 +212,9 @@ def without_repeated_lines(documents: DataFrame, most_bits: int = MOST_BITS) ->
 
 def drop_lines(batches):
     """Rows of `LINES` from rows (doc_id, text, gone), gone being digests of keys."""
-    for batch in batches:
-        gone = batch.column("gone")
+
+    def rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ids, gone = batch.column("doc_id").to_pylist(), batch.column("gone")
         for row, raw in texts_of(batch):
             lost = set(gone[row].as_py() or ())
             kept, n, n_lost, first = bytearray(), 0, 0, True
@@ -235,4 +228,7 @@ def drop_lines(batches):
                         kept += b"\n"
                     kept += line
                     first = False
-            yield pa.record_batch([batch.column("doc_id").slice(row, 1), pa.array([n], pa.int64()), pa.array([n_lost], pa.int64()), pa.array([bytes(kept)], pa.binary()).cast(pa.string())], ["doc_id", "n_lines", "n_dropped", "text"])
+            yield ids[row], n, n_lost, bytes(kept)
+
+    for batch in batches:
+        yield from gathered(rows(batch), {"doc_id": pa.int64(), "n_lines": pa.int64(), "n_dropped": pa.int64(), "text": pa.string()})
