@@ -34,6 +34,8 @@ class Contract:
     """One table: its columns in order, its declared key and references.
 
     `added` columns are computed after loading, so a load never supplies them.
+    `partition` is a column the stored files are divided by, and how it follows from
+    the others; inside a part, rows are in the order of `cluster`.
     """
 
     name: str
@@ -43,6 +45,8 @@ class Contract:
     foreign_keys: tuple[ForeignKey, ...] = ()
     added: dict[str, str] = field(default_factory=dict)
     multiline_text: bool = False
+    partition: tuple[str, str] | None = None
+    cluster: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
@@ -152,6 +156,8 @@ CLEAN = _by_name(
         key=("order_id",),
         comment="Orders",
         added={"total_order_value": "double"},
+        partition=("purchase_month", "date_format(order_purchase_timestamp, 'yyyy-MM')"),
+        cluster=("order_id",),
     ),
     Contract(
         "products",
@@ -279,5 +285,7 @@ STAR = _by_name(
             ForeignKey("location_id", "dim_location", "location_id"),
             ForeignKey("time_id", "dim_time", "time_id"),
         ),
+        partition=("sale_month", "date_format(time_id, 'yyyy-MM')"),
+        cluster=("product_id",),
     ),
 )

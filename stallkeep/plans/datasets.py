@@ -18,7 +18,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from stallkeep.contracts import CLEAN
-from stallkeep.operators.expectations import Rules
+from stallkeep.operators.expectations import ExpectationFailed, Rules, count_violations
 from stallkeep.plans.rules import CLEAN_POLICY, CLEAN_RULES, DROP, FAIL, RAW_POLICY, RAW_RULES, WARN
 from stallkeep.session import side_by_side
 from stallkeep.sources.store import Store
@@ -34,6 +34,7 @@ class Dataset:
     comment: str
     rules: Rules
     policy: str
+    source: tuple[str, str] | None = None
 
 
 class Datasets:
@@ -43,8 +44,17 @@ class Datasets:
         self.layer = layer
         self.declared: dict[str, Dataset] = {}
 
-    def add(self, name: str, build: Build, comment: str = "", rules: Rules | None = None, policy: str = WARN) -> None:
-        self.declared[name] = Dataset(name, build, comment, rules or {}, policy)
+    def add(
+        self,
+        name: str,
+        build: Build,
+        comment: str = "",
+        rules: Rules | None = None,
+        policy: str = WARN,
+        source: tuple[str, str] | None = None,
+    ) -> None:
+        """Declare a dataset. `source` says that it is a stored table (layer, table) as it is."""
+        self.declared[name] = Dataset(name, build, comment, rules or {}, policy, source)
 
     def dataset(
         self, comment: str = "", warn: Rules | None = None, drop: Rules | None = None, fail: Rules | None = None
@@ -64,14 +74,23 @@ class Datasets:
     def publish(self, store: Store, names: Iterable[str] | None = None) -> DataFrame:
         """Write the datasets and return the broken rows per rule.
 
-        Counting is part of the write. The counts of this run also go to
+        Counting is part of the write; a stored table that passes as it is isn't copied, but read
+        once and published by its folders. The counts of this run also go to
         `quality.<layer>`. A broken rule under "fail" raises, with the other
         datasets of the call published or not by their own rules.
         """
         chosen = [self.declared[name] for name in (names or self.declared)]
 
         def write(d: Dataset) -> list[tuple[str, str, str, int]]:
-            found = store.publish_checked(d.build(store), self.layer, d.name, d.rules, d.policy, d.comment)
+            if d.source and d.policy != DROP:
+                version = store.version(*d.source)
+                found = count_violations(store.read(*d.source, version), d.rules)
+                broken = {rule: n for rule, n in found.items() if n}
+                if d.policy == FAIL and broken:
+                    raise ExpectationFailed(f"{self.layer}.{d.name}", broken)
+                store.publish(self.layer, d.name, version.folders, version.schema, d.comment)
+            else:
+                found = store.publish_checked(d.build(store), self.layer, d.name, d.rules, d.policy, d.comment)
             return [(d.name, rule, d.policy, n) for rule, n in found.items()]
 
         counts = side_by_side(store.spark, [partial(write, d) for d in chosen])
@@ -86,7 +105,7 @@ def _of_layer(target: str, source: str, rules: dict[str, Rules], policies: dict[
     datasets = Datasets(target)
     for name, contract in CLEAN.items():
         read = lambda store, name=name: store.read(source, name)
-        datasets.add(name, read, contract.comment, rules[name], policies[name])
+        datasets.add(name, read, contract.comment, rules[name], policies[name], (source, name))
     return datasets
 
 
@@ -96,5 +115,5 @@ def checked_raw() -> Datasets:
 
 
 def checked_clean() -> Datasets:
-    """The nine clean tables under their gates, as copies (see `medallion.gate` for the gate without)."""
+    """The nine clean tables under their gates, each published by itself (see `medallion.gate` for all or none)."""
     return _of_layer("silver_checked", "silver", CLEAN_RULES, CLEAN_POLICY)

@@ -319,6 +319,35 @@ def report_in_sql(t: SalesTables) -> DataFrame:
     )
 
 
+@query(with_tables(FACT_SQL, *FACT_TABLES))
+def fct_sales_added(t: SalesTables) -> DataFrame:
+    """The fact, brought up to date after late payments and another spelling of sellers' cities."""
+    store = Store(t.spark, new_folder(t.spark, "fct-sales-added"))
+    store.replace(t.orders, "silver", "orders", layout=CLEAN["orders"])
+    store.replace(t.order_items, "silver", "order_items")
+    store.replace(t.order_payments.where("payment_type <> 'A'"), "silver", "order_payments")
+    store.replace(t.sellers, "silver_gated", "sellers")
+    store.replace(t.geolocation.where("geolocation_lat >= 0"), "silver_gated", "geolocation")
+    medallion.build_fact(store)
+    store.append(t.order_payments.where("payment_type = 'A'"), "silver", "order_payments")
+    medallion.refresh_fact(store)
+    store.replace(t.geolocation, "silver_gated", "geolocation")
+    medallion.refresh_fact(store)
+    return store.read("gold", "fct_sales").drop("sale_month")
+
+
+@query(
+    """SELECT o_orderstatus AS order_status, count(*) AS row_count FROM orders
+       WHERE o_orderdate >= DATE '1996-03-01' AND o_orderdate < DATE '1996-05-01' GROUP BY 1"""
+)
+def orders_of_months(t: SalesTables) -> DataFrame:
+    """Orders stored by month, two months of them read."""
+    store = Store(t.spark, new_folder(t.spark, "orders-of-months"))
+    store.replace(t.orders, "silver", "orders", layout=CLEAN["orders"])
+    chosen = store.read("silver", "orders").where(F.col("purchase_month").isin("1996-03", "1996-04"))
+    return chosen.groupBy("order_status").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _policy_metrics_sql(dataset: str, source: str, policy: str, rules: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{dataset}' AS dataset, '{rule}' AS rule, '{policy}' AS policy,

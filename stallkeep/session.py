@@ -86,18 +86,29 @@ def work(name: str) -> Iterator[None]:
         _work.reset(before)
 
 
+def _reached(spark: SparkSession, address: str):
+    """(file system, path) of an address, as Spark itself reaches it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(address)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, address: str) -> bool:
+    """Whether there is a file or folder, without a read that fails."""
+    system, path = _reached(spark, address)
+    return system.exists(path)
+
+
 def release(spark: SparkSession, name: str, *needed: DataFrame) -> None:
     """Delete what the named work has stored, but for folders that one of the needed frames reads."""
     files = [file for df in needed for file in df.inputFiles()]
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     kept = []
     for folder in _written.pop(name, []):
         tail = f"/{folder.rsplit('/', 1)[-1]}/"
         if any(tail in file for file in files):
             kept.append(folder)
             continue
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(hadoop).delete(path, True)
+        system, path = _reached(spark, folder)
+        system.delete(path, True)
     if kept:
         _written[name] = kept
 

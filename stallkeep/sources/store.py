@@ -4,11 +4,16 @@
 history. A table is the list of folders its newest history row names, so a write
 becomes visible all at once or not at all, a table may be rewritten from itself,
 and a lost job leaves at most an unused folder.
+
+A table with a layout (`Contract.partition`) has a folder per write and value of its
+partition column, so that a filter on that column reads its folders only, and some of
+its parts can be replaced while the others stay as they are.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
@@ -18,14 +23,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeep.contracts import Contract
+from stallkeep.contracts import CLEAN, STAR, Contract
 from stallkeep.operators.expectations import ExpectationFailed, Rules, expect_or_drop, failed_rules, watch
 from stallkeep.operators.top_n import with_rank
+from stallkeep.session import exists
 
 HISTORY = "version int, folders array<string>, schema string, comment string, tag string, set_aside array<string>"
 COMPACTED = "compacted"  # tag of a rewrite that adds no rows
 FAILED = T.StructField("failed_rules", T.ArrayType(T.StringType()))
+HOME, BEFORE = "__home", "__before"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: how Spark names the part of NULLs
 VERDICT, KEPT, BROKEN = "__verdict", "kept", "broken"
+PART = re.compile(r"(?P<root>.*)/run=[^/]+/(?P<column>[^/=]+)=(?P<value>[^/]*)")
 
 
 @dataclass(frozen=True)
@@ -73,12 +82,8 @@ class Store:
         return f"{self.root}/{layer}/{table}"
 
     def _history(self, layer: str, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(HISTORY).json(f"{self.path(layer, table)}/history")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        folder = f"{self.path(layer, table)}/history"
+        return self.spark.read.schema(HISTORY).json(folder) if exists(self.spark, folder) else None
 
     def version(self, layer: str, table: str, tag_like: str = "%") -> Version | None:
         """The newest version, or the newest whose tag matches a LIKE pattern."""
@@ -103,7 +108,25 @@ class Store:
             raise TableMissing(f"{layer}.{table}")
         if not version.folders:
             return _empty(self.spark, version.schema)
-        return self.spark.read.schema(version.schema).parquet(*version.folders)
+        reader = self.spark.read.schema(version.schema)
+        if part := PART.fullmatch(version.folders[0]):
+            reader = reader.option("basePath", part["root"])
+        return reader.parquet(*version.folders).select(*[f"`{c}`" for c in version.schema.names])
+
+    def read_version(self, layer: str, table: str, number: int) -> DataFrame:
+        """The rows of an older version."""
+        history = self._history(layer, table)
+        row = history.where(F.col("version") == number).first() if history is not None else None
+        if row is None:
+            raise TableMissing(f"{layer}.{table} version {number}")
+        schema = T.StructType.fromJson(json.loads(row["schema"]))
+        return self.read(layer, table, Version(number, tuple(row["folders"]), schema, row["comment"]))
+
+    def folders_of(self, layer: str, table: str, number: int) -> set[str]:
+        """The folders of an older version."""
+        history = self._history(layer, table)
+        row = history.where(F.col("version") == number).first() if history is not None else None
+        return set(row["folders"]) if row else set()
 
     def read_added(self, layer: str, table: str, since: int) -> tuple[DataFrame, int]:
         """Rows added after version `since`, and the current version number."""
@@ -173,6 +196,28 @@ class Store:
         df.write.parquet(folder)
         return folder
 
+    def write_parts(self, df: DataFrame, layer: str, table: str, layout: Contract) -> tuple[list[str], T.StructType]:
+        """(folders, schema) of rows written by their partition, in parts of even size, in the layout's order inside each."""
+        column, expression = layout.partition
+        rest = [c for c in df.columns if c != column]
+        parted = df.select(*[f"`{c}`" for c in rest], F.expr(expression).alias(column))
+        root = f"{self.path(layer, table)}/data/run=r{uuid.uuid4().hex}"
+        parted.hint("rebalance", column).sortWithinPartitions(column, *layout.cluster).write.partitionBy(column).parquet(root)
+        files = self.spark.read.schema(parted.schema).parquet(root).inputFiles()
+        return sorted({file.rsplit("/", 1)[0] for file in files}), parted.schema
+
+    def replace_parts(
+        self, df: DataFrame, layer: str, table: str, layout: Contract, gone: Iterable[str | None] = (), tag: str | None = None
+    ) -> None:
+        """Put the rows of `df` in the place of all rows of its parts, and of the parts named in `gone`; other parts stay."""
+        current = self.version(layer, table)
+        if current is None:
+            raise TableMissing(f"{layer}.{table}")
+        folders, schema = self.write_parts(df, layer, table, layout)
+        names = {PART.fullmatch(folder)["value"] for folder in folders} | {NO_VALUE if value is None else value for value in gone}
+        kept = [folder for folder in current.folders if PART.fullmatch(folder)["value"] not in names]
+        self.publish(layer, table, [*kept, *folders], schema, tag=tag, set_aside=current.set_aside)
+
     def publish(
         self,
         layer: str,
@@ -202,13 +247,25 @@ class Store:
             self.publish(layer, contract.name, [], contract.full_schema, contract.comment)
 
     def replace(
-        self, df: DataFrame, layer: str, table: str, comment: str = "", tag: str | None = None, ordered: Iterable[Column] = ()
+        self,
+        df: DataFrame,
+        layer: str,
+        table: str,
+        comment: str = "",
+        tag: str | None = None,
+        ordered: Iterable[Column] = (),
+        layout: Contract | None = None,
     ) -> None:
         """Full rebuild. `df` may read the table it replaces and may change its columns.
 
         With `ordered` the table is sorted by these columns as a whole, and has the
         place of each row in a column `rank`: readers of several files keep no order.
+        With a `layout` its files are divided by the layout's partition column, which
+        is added as the last.
         """
+        if layout is not None and layout.partition:
+            folders, schema = self.write_parts(df, layer, table, layout)
+            return self.publish(layer, table, folders, schema, comment, tag)
         if ordered := list(ordered):
             df = with_rank(df, ordered)
         self.publish(layer, table, [self.write_data(df, layer, table)], df.schema, comment, tag)
@@ -236,10 +293,16 @@ class Store:
             for field in current.schema
             if field.name in df.columns
         ]
-        folder = self.write_data(df.select(*known), layer, table)
+        if current.folders and (part := PART.fullmatch(current.folders[0])):
+            layout = {**CLEAN, **STAR}[table]
+            if layout.partition is None or layout.partition[0] != part["column"]:
+                raise ValueError(f"{layer}.{table} is divided by {part['column']}, unlike its contract")
+            folders, _ = self.write_parts(df.select(*known), layer, table, layout)
+        else:
+            folders = [self.write_data(df.select(*known), layer, table)]
         if before_publishing:
             before_publishing()
-        self.publish(layer, table, [*current.folders, folder], current.schema, tag=tag, set_aside=current.set_aside)
+        self.publish(layer, table, [*current.folders, *folders], current.schema, tag=tag, set_aside=current.set_aside)
 
     def write_split(self, df: DataFrame, layer: str, table: str, rules: Rules) -> Split:
         """Write the rows that keep every rule and those that break one to two folders, in one pass that counts them."""
@@ -274,8 +337,46 @@ class Store:
     def compact(self, layer: str, table: str) -> None:
         """Rewrite a table of many small appends as one folder of even files."""
         current = self.version(layer, table)
-        folder = self.write_data(self.read(layer, table, current).hint("rebalance"), layer, table)
-        self.publish(layer, table, [folder], current.schema, tag=COMPACTED, set_aside=current.set_aside)
+        rows = self.read(layer, table, current)
+        if current.folders and PART.fullmatch(current.folders[0]):
+            folders, _ = self.write_parts(rows, layer, table, {**CLEAN, **STAR}[table])
+        else:
+            folders = [self.write_data(rows.hint("rebalance"), layer, table)]
+        self.publish(layer, table, folders, current.schema, tag=COMPACTED, set_aside=current.set_aside)
+
+    def rewrite_changed(self, layer: str, table: str, change: Callable[[DataFrame], DataFrame], layout: Contract | None = None) -> int:
+        """Replace the table by `change` of its rows, writing only folders that hold a row it changes; returns their number.
+
+        `change` gives one row for each of its rows, and keeps columns it doesn't know. A table of one folder,
+        one not divided as `layout` says, and one whose columns change is written whole.
+        """
+        current = self.version(layer, table)
+        if current is None:
+            raise TableMissing(f"{layer}.{table}")
+        if not current.folders:
+            return 0
+        divided = layout is not None and layout.partition is not None
+        plain = change(self.read(layer, table, current))
+        if len(current.folders) == 1 or divided != bool(PART.fullmatch(current.folders[0])) or set(plain.columns) != set(current.schema.names):
+            self.replace(plain, layer, table, layout=layout)
+            return len(current.folders)
+        # the folder below data/ that a row's file is in, and the row as it was
+        reader = self.spark.read.schema(current.schema)
+        if divided:
+            reader = reader.option("basePath", PART.fullmatch(current.folders[0])["root"])
+        names = [f"`{c}`" for c in current.schema.names]
+        home = F.regexp_extract(F.col("_metadata.file_path"), ".*/data/(.+)/[^/]+$", 1)
+        rows = reader.parquet(*current.folders).select(*names, home.alias(HOME), F.struct(*names).alias(BEFORE))
+        changed = change(rows)
+        other = ~F.struct(*names).eqNullSafe(F.col(BEFORE))
+        touched = [row[0] for row in changed.where(other).select(HOME).distinct().collect()]  # some of the table's folders
+        if not touched:
+            return 0
+        fresh = changed.where(F.col(HOME).isin(touched)).select(*names)
+        folders = self.write_parts(fresh, layer, table, layout)[0] if divided else [self.write_data(fresh, layer, table)]
+        kept = [folder for folder in current.folders if folder.rsplit("/data/", 1)[1] not in touched]
+        self.publish(layer, table, [*kept, *folders], current.schema, set_aside=current.set_aside)
+        return len(touched)
 
     def publish_checked(
         self, df: DataFrame, layer: str, table: str, rules: Rules, policy: str, comment: str = ""

@@ -64,3 +64,16 @@ def test_declared_layers():
 def test_views_for_sql(numbers, spark):
     assert numbers.views("bronze", ["numbers"]) == ["bronze_numbers"]
     assert spark.sql("SELECT sum(id) AS s FROM bronze_numbers").first()["s"] == 45
+
+
+@pytest.mark.parametrize("policy", ["warn", "fail"])
+def test_a_stored_table_that_passes_is_not_copied(numbers, policy):
+    checked = Datasets("checked")
+    checked.add("numbers", read, rules=RULES if policy == "warn" else {"not_null": "id IS NOT NULL"}, policy=policy, source=("bronze", "numbers"))
+    found = {r["rule"]: r["violations"] for r in checked.publish(numbers).collect()}
+    assert found == ({"small": 2, "not_null": 0} if policy == "warn" else {"not_null": 0})
+    assert numbers.version("checked", "numbers").folders == numbers.version("bronze", "numbers").folders
+    checked.add("numbers", read, rules=RULES, policy="fail", source=("bronze", "numbers"))
+    with pytest.raises(ExpectationFailed):
+        checked.publish(numbers)
+    assert numbers.version("checked", "numbers").number == 1

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallkeep.contracts import CLEAN
-from stallkeep.session import new_folder, shared_folder, shuffle_partitions_for, side_by_side, stored
+from stallkeep.session import exists, new_folder, release, shared_folder, shuffle_partitions_for, side_by_side, stored, work
 from stallkeep.sources import landing
 from stallkeep.sources.store import TableMissing, publish_formats
 from stallkeep.streaming import ingest
@@ -27,6 +27,22 @@ def test_stored_reads_back(spark):
     assert df.count() == 5 and "parquet" in df._jdf.queryExecution().toString().lower()
 
 
+def test_stored_work_is_released_but_for_what_is_needed(spark):
+    folder_of = lambda df: df.inputFiles()[0].rsplit("/", 1)[0]
+    outside = stored(spark.range(3), "t")
+    with work("a"):
+        kept, gone = stored(spark.range(4), "t"), stored(spark.range(5), "t")
+        with work("b"):
+            other = stored(spark.range(6), "t")
+    places = {name: folder_of(df) for name, df in (("outside", outside), ("kept", kept), ("gone", gone), ("other", other))}
+    release(spark, "a", kept.where("id > 1"))
+    assert {name: exists(spark, place) for name, place in places.items()} == {"outside": True, "kept": True, "gone": False, "other": True}
+    release(spark, "a")
+    release(spark, "never stored")
+    assert not exists(spark, places["kept"]) and exists(spark, places["other"])
+    release(spark, "b")
+
+
 def test_shuffle_partitions():
     assert shuffle_partitions_for(100 * 1024**4, 8000) == 819_200
     assert shuffle_partitions_for(1, 8) == 16
