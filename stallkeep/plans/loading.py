@@ -321,15 +321,16 @@ def report_in_sql(t: SalesTables) -> DataFrame:
 
 @query(with_tables(FACT_SQL, *FACT_TABLES))
 def fct_sales_added(t: SalesTables) -> DataFrame:
-    """The fact, brought up to date after late payments and another spelling of sellers' cities."""
+    """The fact, brought up to date after late payments of a month and another spelling of a city."""
     store = Store(t.spark, new_folder(t.spark, "fct-sales-added"))
+    month = t.orders.where("date_format(order_purchase_timestamp, 'yyyy-MM') = '1996-03'").select("order_id")
     store.replace(t.orders, "silver", "orders", layout=CLEAN["orders"])
     store.replace(t.order_items, "silver", "order_items")
-    store.replace(t.order_payments.where("payment_type <> 'A'"), "silver", "order_payments")
+    store.replace(t.order_payments.join(month, "order_id", "left_anti"), "silver", "order_payments")
     store.replace(t.sellers, "silver_gated", "sellers")
-    store.replace(t.geolocation.where("geolocation_lat >= 0"), "silver_gated", "geolocation")
+    store.replace(t.geolocation.where("geolocation_zip_code_prefix <> 3 OR geolocation_lat >= 0"), "silver_gated", "geolocation")
     medallion.build_fact(store)
-    store.append(t.order_payments.where("payment_type = 'A'"), "silver", "order_payments")
+    store.append(t.order_payments.join(month, "order_id", "left_semi"), "silver", "order_payments")
     medallion.refresh_fact(store)
     store.replace(t.geolocation, "silver_gated", "geolocation")
     medallion.refresh_fact(store)
