@@ -1,18 +1,21 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-A code of 64 bits is cut into m segments, each an index of its own. A code within
-distance m * (r + 1) - 1 of a query differs from it by at most r bits in one of the
-segments. So segment radii r = 0, 1, 2, ... are searched in turn, by equi-joins with
-the segment values that differ in exactly r bits, and every code met is verified by
-its whole distance. A query is done once its kth verified distance is within what
-r covers; only the others go on.
-
-Rows of equal code are one entry of the index, with their number, their smallest id
-and, for the answer, their k smallest ids: a code that a third of the rows share
-costs no more than any other. The segments' length follows the number of codes, so
-that a probe meets about one. Where a radius' probes would cost more than a scan of
-all codes (`PROBE_COST`), the queries left are scanned against all codes, a bounded block of
-queries at a time: exact as well.
+A code of 64 bits is cut into m segments, each an index of its own: its distinct
+values, and the codes of each. A code within distance m * (r + 1) - 1 of a query differs
+from it by at most r bits in one of the segments. So segment radii r = 0, 1, 2, ...
+are searched in turn: the codes of the values that differ from the query's segment in
+exactly r bits are verified by their whole distance, each once. A query is done as
+soon as its kth verified distance is within what r covers.
+
+Which values are how far from the query's is found by comparing it with the values
+that are there, once a segment and query; flipping bits would ask for far more
+values than there are, since a kth neighbour of 64 random bits is some 20 bits away.
+
+The codes are dealt to parts of about `PART`, each with an index of its own; every
+block of `BLOCK` queries meets every part by a join on the part's number, and a part gives its k nearest. A
+task holds one part and one block at a time. Rows of equal code are one entry, with
+their number, their smallest id and, for the answer, their k smallest ids: a code
+that a third of the rows share costs no more than any other.
 
 Answers hold the k nearest rows, the query's own among them, by distance and then
 id. Defined results: rows without a vector, or with an empty one, have no code: they are neither found nor
@@ -24,8 +27,7 @@ columns are ignored.
 
 from __future__ import annotations
 
-from itertools import combinations
-from math import comb, log2
+from math import log2
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +39,8 @@ from stallkeep.session import stored
 
 BITS = 64
 K = 10
-#: Queries that are scanned against all codes at once.
-BLOCK = 1024
-#: Codes that can be scanned in the time of one probe, which is shuffled, joined and ranked.
-PROBE_COST = 64
+#: Codes of a part, least codes of one where there are cores to spare, and queries of a block.
+PART, LEAST_PART, BLOCK = 1 << 16, 2048, 256
 
 
 def sign_codes(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -59,55 +59,83 @@ def segment_bounds(codes: int) -> list[tuple[int, int]]:
     return [(low, high - low) for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def _value(column: str, shift: int, bits: int):
-    return F.shiftrightunsigned(F.col(column), shift).bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def _nearest(rows: DataFrame, k: int) -> DataFrame:
-    """The k nearest codes of each query among (query, code, n, least, distance)."""
-    w = Window.partitionBy("query").orderBy("distance", "least")
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
-
-
-def _probed(active: DataFrame, index: DataFrame, segments: list[tuple[int, int]], radius: int) -> DataFrame:
-    """(query, code, n, least) of codes that differ from the query by `radius` bits in some segment."""
-    probes = None
-    for k, (shift, bits) in enumerate(segments):
-        masks = [sum(1 << b for b in chosen) for chosen in combinations(range(bits), radius)]
-        flips = F.explode(F.array(*[F.lit(x).cast("long") for x in masks])) if len(masks) < 64 else F.explode(F.from_json(F.lit(str(masks)), "array<bigint>"))
-        own = active.select("query", F.lit(k).alias("segment"), _value("query", shift, bits).alias("own"), flips.alias("flip"))
-        own = own.select("query", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value"))
-        probes = own if probes is None else probes.union(own)
-    # probes are many times the rows they come from, which no estimate knows: both sides are shuffled
-    return probes.hint("merge").join(index, ["segment", "value"]).select("query", "code", "n", "least").distinct()
-
-
-def _scanned(active: DataFrame, codes: DataFrame, k: int) -> DataFrame:
-    """(query, code, n, least, distance): the k nearest of every task's codes, for queries in bounded blocks."""
-    numbered = stored(active.select("query").withColumn("block", F.pmod(F.xxhash64("query"), F.lit(max(1, -(-active.count() // BLOCK))))), "asked")
-    found = None
-    for (block,) in sorted(numbered.select("block").distinct().toLocalIterator()):
-        wanted = np.array([r[0] for r in numbered.where(F.col("block") == block).select("query").collect()], np.int64)
-
-        def run(batches, wanted=wanted):
-            for batch in batches:
-                code = batch.column("code").to_numpy()
-                for low in range(0, len(code), 2000):
-                    part = code[low : low + 2000]
-                    far = np.bitwise_count(wanted.view(np.uint64)[:, None] ^ part.view(np.uint64)[None, :]).astype(np.int32)
-                    least = batch.column("least").to_numpy()[low : low + 2000]
-                    by_id = np.argsort(least, kind="stable")
-                    best = by_id[np.argsort(far[:, by_id], axis=1, kind="stable")[:, :k]]
-                    at = best.ravel()
-                    query = np.repeat(wanted, best.shape[1])
-                    yield pa.record_batch(
-                        [pa.array(query), pa.array(part[at]), pa.array(batch.column("n").to_numpy()[low : low + 2000][at]), pa.array(least[at]), pa.array(np.take_along_axis(far, best, 1).ravel())],
-                        ["query", "code", "n", "least", "distance"],
-                    )
-
-        some = codes.select("code", "n", "least").mapInArrow(run, "query long, code long, n long, least long, distance int")
-        found = some if found is None else found.union(some)
-    return found
+class SegmentIndex:
+    """Codes by the values of their segments."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes.view(np.uint64)
+        self.segments = []
+        for shift, bits in segment_bounds(len(codes)):
+            mask = np.uint64((1 << bits) - 1)
+            own = (self.codes >> np.uint64(shift)) & mask
+            order = np.argsort(own, kind="stable")
+            values, first, n = np.unique(own[order], return_index=True, return_counts=True)
+            self.segments.append((np.uint64(shift), mask, bits, order, values, first, n))
+        self.verified = 0  # codes compared as a whole
+
+    def nearest(self, query: np.uint64, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, distances) of the k codes nearest to the query, by distance and then `least`."""
+        n, m = len(self.codes), len(self.segments)
+        apart = [np.bitwise_count(values ^ ((query >> shift) & mask)) for shift, mask, _, _, values, _, _ in self.segments]
+        seen = np.zeros(n, bool)
+        places, distances = np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        for radius in range(max(bits for _, _, bits, *_ in self.segments) + 1):
+            for far, (_, _, _, order, _, first, count) in zip(apart, self.segments, strict=True):
+                hit = np.flatnonzero(far == radius)
+                sizes = count[hit]
+                at = order[np.repeat(first[hit] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+                at = at[~seen[at]]
+                if len(at):
+                    seen[at] = True
+                    self.verified += len(at)
+                    places = np.concatenate([places, at])
+                    distances = np.concatenate([distances, np.bitwise_count(self.codes[at] ^ query)])
+            if len(places) >= min(k, n):
+                kth = np.partition(distances, min(k, n) - 1)[min(k, n) - 1] if n else 0
+                near = distances <= kth  # all that may be among the k nearest
+                places, distances = places[near], distances[near]
+                if kth <= m * (radius + 1) - 1 or seen.all():
+                    break
+        chosen = np.lexsort((least[places], distances))[:k]
+        return places[chosen], distances[chosen]
+
+
+PACKED = "part long, codes binary, least binary, n binary"
+
+
+def packed_codes(codes: DataFrame, parts: int) -> DataFrame:
+    """Rows of `PACKED`: the distinct codes of a part, their smallest ids and numbers of rows, as bytes."""
+
+    def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        values = [table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("code", "least", "n")]
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), *[pa.array([v], pa.binary()) for v in values]], names=["part", "codes", "least", "n"])
+
+    return codes.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(parts))).groupBy("part").applyInArrow(pack, PACKED)
+
+
+def searched(parts: DataFrame, queries: DataFrame, n_parts: int, k: int) -> DataFrame:
+    """(query, code, n, least, distance): of each part, the k codes nearest to each of the distinct `queries` (query)."""
+    asked = queries.count()
+    block = F.pmod(F.xxhash64("query"), F.lit(max(1, -(-asked // BLOCK))))
+    blocks = stored(queries.groupBy(block.alias("block")).agg(F.sort_array(F.collect_list("query")).alias("queries")), "asked")
+    dealt = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_parts - 1).cast("long"))))
+
+    def run(batches):
+        last, index, least, n = None, None, None, None
+        for batch in batches:
+            for row in range(len(batch)):
+                if batch.column("part")[row].as_py() != last:  # blocks of a part mostly follow one another
+                    last = batch.column("part")[row].as_py()
+                    codes, least, n = (np.frombuffer(batch.column(c)[row].as_buffer(), np.int64).copy() for c in ("codes", "least", "n"))
+                    index = SegmentIndex(codes)
+                wanted = batch.column("queries")[row].values.to_numpy()
+                found = [index.nearest(q, k, least) for q in wanted.view(np.uint64)]
+                at = np.concatenate([places for places, _ in found])
+                far = np.concatenate([distances for _, distances in found]).astype(np.int32)
+                query = np.repeat(wanted, [len(places) for places, _ in found])
+                yield pa.record_batch([pa.array(query), pa.array(index.codes.view(np.int64)[at]), pa.array(n[at]), pa.array(least[at]), pa.array(far)], ["query", "code", "n", "least", "distance"])
+
+    return parts.hint("merge").join(dealt, "part").mapInArrow(run, "query long, code long, n long, least long, distance int")
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
@@ -115,44 +143,14 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     rows, queries = stored(rows.select("id", "code"), "codes"), stored(queries.select("id", "code"), "queries")
     codes = stored(rows.groupBy("code").agg(F.count("*").alias("n"), F.min("id").alias("least")), "index")
     count = codes.count()
-    segments = segment_bounds(count)
-    index = None
-    for s, (shift, bits) in enumerate(segments):
-        part = codes.select(F.lit(s).alias("segment"), _value("code", shift, bits).alias("value"), "code", "n", "least")
-        index = part if index is None else index.union(part)
-    index = stored(index, "segments")
-    active = stored(queries.select(F.col("code").alias("query")).distinct(), "active")
-    best, answers, radius = None, [], 0
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
-    while active.limit(1).count():
-        probes = sum(comb(bits, radius) for _, bits in segments)
-        last = PROBE_COST * probes > count or radius > max(bits for _, bits in segments)
-        if last:
-            found = _scanned(active, codes, k)
-        else:
-            found = _probed(active, index, segments, radius).select("query", "code", "n", "least", distance)
-            if best is not None:
-                found = found.union(best).distinct()
-        best = stored(_nearest(found, k), "best")
-        if last:
-            answers.append(best)
-            break
-        # rows, not codes, make up the kth distance
-        w = Window.partitionBy("query").orderBy("distance", "least").rowsBetween(Window.unboundedPreceding, 0)
-        sure = best.withColumn("rows", F.sum("n").over(w)).where(F.col("rows") >= k).groupBy("query").agg(F.min("distance").alias("kth"))
-        done = stored(sure.where(F.col("kth") <= len(segments) * (radius + 1) - 1).select("query"), "done")
-        answers.append(best.join(done, "query", "left_semi"))
-        best = stored(best.join(done, "query", "left_anti"), "best")
-        active = stored(active.join(done, "query", "left_anti"), "active")
-        radius += 1
-    if not answers:
-        return queries.sparkSession.createDataFrame([], "query_id long, rank int, neighbour_id long, distance int")
-    near = answers[0]
-    for a in answers[1:]:
-        near = near.union(a)
+    n_parts = max(1, -(-count // PART), min(2 * rows.sparkSession.sparkContext.defaultParallelism, count // LEAST_PART))
+    parts = stored(packed_codes(codes, n_parts), "parts")
+    found = searched(parts, queries.select(F.col("code").alias("query")).distinct(), n_parts, k)
+    w = Window.partitionBy("query").orderBy("distance", "least")
+    near = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query", "code", "distance")
     # at most k rows of each code: those of the smallest ids
     few = rows.withColumn("place", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("place") <= k).drop("place")
-    each = near.select("query", "code", "distance").join(few, "code")
+    each = near.join(few, "code")
     w = Window.partitionBy("query").orderBy("distance", "id")
     ranked = each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     asked = queries.select(F.col("id").alias("query_id"), F.col("code").alias("query"))
