@@ -8,6 +8,9 @@ memory for its words (8 bytes each), not for its bytes.
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -70,6 +73,16 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
+def give_back() -> None:
+    """Return to the system what a worker's allocators hold and don't use: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+
+
 def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows with about `limit` bytes, or one longer text."""
     data, offsets = buffers(column)
@@ -79,6 +92,8 @@ def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, np.
         stop = min(max(stop, first + 1), first + 20_000)
         yield first, stop, data[offsets[first] : offsets[stop]], offsets[first : stop + 1] - offsets[first]
         first = stop
+    if len(offsets) and offsets[-1] - offsets[0] >= BLOCK // 2:
+        give_back()
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[int, bytes]]:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallkeep.llm.bytetext import SPACE, blocks, span_hashes
+from stallkeep.llm.bytetext import SPACE, blocks, give_back, span_hashes
 from stallkeep.session import stored
 
 LENGTH = 2048
@@ -181,6 +181,8 @@ def pieces(documents: DataFrame, ranks_file: str, json_file: str, length: int =
                 arrays.append(pa.array(columns[5], pa.binary()))
                 names.append("ids")
             yield pa.record_batch(arrays, names)
+        t.forget()  # the worker goes on to other tasks, and other work
+        give_back()
 
     return documents.select("doc_id", "text").mapInArrow(run, fields)
 
