@@ -7,7 +7,7 @@ largest component.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stallkeep.session import stored
@@ -38,9 +38,11 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(ordered, "edges")
     state = None
     for _ in range(MOST_ROUNDS):
-        now = stored(_small(_large(now).where("u > v")).where("u > v").distinct(), "edges")
-        # a bit-wise sum of the edges' hashes: equal only when no edge has moved
-        found = now.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
+        # bit-wise sums of the edges' hashes, taken while they are written: equal only when no edge has moved
+        seen = Observation()
+        sums = [F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "v", "u")).alias("b")]
+        now = stored(_small(_large(now).where("u > v")).where("u > v").distinct().observe(seen, *sums), "edges")
+        found = seen.get
         if found == state:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         state = found

@@ -104,22 +104,24 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
     tested = np.arange(len(rows)) % 5 == 4
     order = np.argsort(labels, kind="stable")  # every fifth row of each class
     tested = tested[np.argsort(order)]
-    parts = []
+    found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(FAMILIES)]
     for text, _ in rows:
         column = pa.array([text])
         data = np.frombuffer(column.buffers()[2], np.uint8) if text else np.zeros(0, np.uint8)
         here = [[] for _ in range(FAMILIES)]
         for family, slots, _ in families(data, np.array([0, len(data)])):
             here[family].append(slots)
-        parts.append([np.unique(np.concatenate(x) if x else np.zeros(0, np.int32), return_counts=True) for x in here])
+        for family, x in enumerate(here):
+            slots, counts = np.unique(np.concatenate(x) if x else np.zeros(0, np.int32), return_counts=True)
+            found[family].append((slots.astype(np.int32), counts.astype(np.float32)))
     stacked = []
-    for family in range(FAMILIES):
-        slots = np.concatenate([p[family][0] for p in parts])
-        sizes = np.array([len(p[family][0]) for p in parts])
-        counts = np.concatenate([p[family][1] for p in parts]).astype(np.float32)
-        of = np.repeat(np.arange(len(parts)), sizes)
-        total = np.maximum(np.bincount(of, counts, len(parts)), 1)
-        stacked.append((slots, of, (counts / total[of] ** power).astype(np.float32)))
+    for parts in found:
+        slots, value = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        sizes = [len(p[0]) for p in parts]
+        total = np.array([max(p[1].sum(), 1) for p in parts])
+        value /= np.repeat((total**power).astype(np.float32), sizes)
+        stacked.append((slots, np.repeat(np.arange(len(parts), dtype=np.int32), sizes), value))
+        parts.clear()  # held once, not twice
     k = 1 if classes == 1 else classes
     target = labels[:, None].astype(float) if k == 1 else np.eye(k)[labels]
     weight = np.where(tested, 0, 1 / np.maximum(share[labels], 1e-9))
@@ -132,7 +134,8 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
         z = np.tile(model.bias, (len(rows), 1))
         for family, (slots, of, value) in enumerate(stacked):
             for c in range(k):
-                z[:, c] += np.bincount(of, model.weights[family, slots, c] * value, len(rows))
+                for part in _pieces(len(of)):
+                    z[:, c] += np.bincount(of[part], model.weights[family, slots[part], c] * value[part], len(rows))
         return z
 
     def squash(z: np.ndarray) -> np.ndarray:
@@ -145,7 +148,9 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
         slope = (squash(raw()) - target) * weight[:, None]
         for family, (slots, of, value) in enumerate(stacked):
             for c in range(k):
-                g = np.bincount(slots, slope[of, c] * value, 1 << BITS) + decay * 1e-3 * model.weights[family, :, c]
+                g = decay * 1e-3 * model.weights[family, :, c].astype(np.float64)
+                for part in _pieces(len(of)):
+                    g += np.bincount(slots[part], slope[of[part], c] * value[part], 1 << BITS)
                 m, v = first[family, :, c], second[family, :, c]
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
@@ -157,6 +162,11 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
     return _calibrate(model, raw()[tested], target[tested])
 
 
+def _pieces(n: int, size: int = 1 << 20) -> Iterator[slice]:
+    """Parts of n entries, so that what is computed from them stays small."""
+    return (slice(low, low + size) for low in range(0, n, size))
+
+
 def _calibrate(model: HashedModel, z: np.ndarray, target: np.ndarray) -> HashedModel:
     """Scale and shift that minimise the log loss of rows the weights have not seen (Platt for one logit)."""
     scale, shift = 1.0, np.zeros(z.shape[1])

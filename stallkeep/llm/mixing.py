@@ -49,7 +49,7 @@ STEPS, CLOSE = 40, 1e-3
 ROWS = 800
 #: Largest rate: how often a document may be taken at most.
 MOST_RATE = 4.0
-#: Posterior from which a document is of one domain alone.
+#: Posterior of a domain from which a document is settled as not of the anchor.
 MOSTLY = 0.75
 SEED = 3
 
@@ -65,35 +65,40 @@ def fitted_model(documents: DataFrame, labels: DataFrame, rows: int = ROWS) -> H
     return fit(sample, len(DOMAINS), steps=50, power=0.5) if len({c for _, c in sample}) > 1 else constant(np.full(len(DOMAINS), 1 / len(DOMAINS)))
 
 
-def _scored(column: pa.Array, model: HashedModel, whole: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row keys, words, posteriors) of texts; with `whole` a posterior is 1 for the domain with `MOSTLY` or more, or else the anchor."""
+def _scored(column: pa.Array, model: HashedModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row keys, words, posteriors) of texts."""
     keys, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for _, _, data, offsets in blocks(column):
         found = words(data, offsets)
         counts.append(np.diff(found.bounds))
         keys.append(mix(per_text(mix(found.hash), found.bounds)))
     p = model.posteriors(column)
-    return np.concatenate(keys).view(np.int64), np.concatenate(counts), np.eye(p.shape[1])[np.where(p.max(1) >= MOSTLY, p.argmax(1), DOMAINS.index(ANCHOR))] if whole else p
+    return np.concatenate(keys).view(np.int64), np.concatenate(counts), p
 
 
-def posteriors(documents: DataFrame, model: HashedModel, whole: bool = False) -> DataFrame:
+def posteriors(documents: DataFrame, model: HashedModel) -> DataFrame:
     """(doc_id, row_key, tokens, posterior) per row; row_key is a hash of the text's words."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
-            keys, counts, p = _scored(batch.column("text"), sent.value, whole)
+            keys, counts, p = _scored(batch.column("text"), sent.value)
             values = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
             yield pa.record_batch([batch.column("doc_id"), pa.array(keys), pa.array(counts), values], ["doc_id", "row_key", "tokens", "posterior"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, row_key long, tokens long, posterior array<double>")
 
 
-def rates_after(p: np.ndarray, steps: list[np.ndarray], most_rate: float = MOST_RATE) -> np.ndarray:
-    """Rates of documents with posteriors `p` after steps from 1, each projected to 0..`most_rate`."""
+def rates_after(p: np.ndarray, steps: list[np.ndarray], most_rate: float = MOST_RATE, keep: int | None = None) -> np.ndarray:
+    """Rates of documents with posteriors `p` after steps from 1, each projected to 0..`most_rate`.
+
+    With `keep`, documents in which no domain but that one has `MOSTLY` or more stay at 1.
+    """
     rate = np.ones(len(p))
     for step in steps:
         rate = np.clip(rate - p @ step, 0, most_rate)
+    if keep is not None and len(p):
+        rate[np.delete(p, keep, axis=1).max(1, initial=0) < MOSTLY] = 1
     return rate
 
 
@@ -101,8 +106,11 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("posterior").flatten().to_numpy().reshape(len(batch), -1)
 
 
-def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = STEPS, close: float = CLOSE, most_rate: float = MOST_RATE) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """(steps, expected tokens, target tokens) for a stored table of posteriors."""
+def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = STEPS, close: float = CLOSE, most_rate: float = MOST_RATE, keep: int | None = None) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(steps, expected tokens, target tokens) for a stored table of posteriors.
+
+    With `keep` (see `rates_after`) the rates of the other documents alone are fitted, to the targets of the other domains.
+    """
     k = len(targets)
     weights = np.array(targets, float)
 
@@ -111,7 +119,7 @@ def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = S
             total = np.zeros(k)
             for batch in batches:
                 p = _matrix(batch)
-                total += (rates_after(p, steps, most_rate) * batch.column("tokens").to_numpy()) @ p
+                total += (rates_after(p, steps, most_rate, keep) * batch.column("tokens").to_numpy()) @ p
             yield pa.record_batch([pa.array([float(x)]) for x in total], [f"t{j}" for j in range(k)])
 
         sums = table.select("tokens", "posterior").mapInArrow(run, ", ".join(f"t{j} double" for j in range(k)))
@@ -122,13 +130,14 @@ def fit_steps(table: DataFrame, targets: list[float], anchor: int, most: int = S
     if weights[anchor] <= 0 or mass[anchor] <= 0:
         return steps, now, now
     goal = np.where(mass > 0, weights * mass[anchor] / weights[anchor], 0)
+    free = np.array([j != keep for j in range(k)])
     for _ in range(most):
-        off = np.where(mass > 0, (now - goal) / np.maximum(mass, 1e-12), 0)
-        if np.abs(now - goal).max() <= close * goal.sum():
+        off = np.where((mass > 0) & free, (now - goal) / np.maximum(mass, 1e-12), 0)
+        if np.abs(now - goal)[free].max() <= close * goal.sum():
             break
         steps.append(off)
         before, now = now, expected(steps)
-        if np.abs(now - before).max() <= 0.01 * close * goal.sum():
+        if np.abs(now - before)[free].max() <= 0.01 * close * goal.sum():
             break  # what is left is beyond the largest rate
     return steps, now, goal
 
@@ -150,28 +159,29 @@ def with_rates(table: DataFrame, steps: list[np.ndarray], most_rate: float = MOS
     return rated.withColumn("copies", copies_of(F.col("rate")))
 
 
-def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, whole: bool = False) -> tuple[DataFrame, list[np.ndarray]]:
+def fitted_rates(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, keep_anchor: bool = False) -> tuple[DataFrame, list[np.ndarray]]:
     """(stored posteriors, steps)."""
     targets = TARGETS if targets is None else targets
-    table = stored(posteriors(documents, model, whole), "posteriors")
-    return table, fit_steps(table, [targets.get(d, 0.0) for d in DOMAINS], DOMAINS.index(anchor), most_rate=most_rate)[0]
+    table, first = stored(posteriors(documents, model), "posteriors"), DOMAINS.index(anchor)
+    return table, fit_steps(table, [targets.get(d, 0.0) for d in DOMAINS], first, most_rate=most_rate, keep=first if keep_anchor else None)[0]
 
 
-def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, whole: bool = False) -> DataFrame:
+def taken_rows(documents: DataFrame, model: HashedModel, targets: dict[str, float] | None = None, anchor: str = ANCHOR, most_rate: float = MOST_RATE, keep_anchor: bool = False) -> DataFrame:
     """The rows of `documents`, with all their columns, as often as the mixture takes them.
 
-    With `whole` a document is of one domain alone, the anchor in doubt, and those of the anchor have rate 1.
-    Texts are scored a second time instead of being joined with their rates.
+    With `keep_anchor` documents that are not mostly of another domain are taken once, and the rates of the
+    others are fitted so that all posteriors together meet the targets. Texts are scored a second time instead of being joined with their rates.
     """
-    _, steps = fitted_rates(documents, model, targets, anchor, most_rate, whole)
+    _, steps = fitted_rates(documents, model, targets, anchor, most_rate, keep_anchor)
+    keep = DOMAINS.index(anchor) if keep_anchor else None
     sent = documents.sparkSession.sparkContext.broadcast(model)
     fields = documents.schema
     schema = T.StructType([*fields, T.StructField("__row_key", T.LongType()), T.StructField("__rate", T.DoubleType())])
 
     def run(batches):
         for batch in batches:
-            keys, _, p = _scored(batch.column("text"), sent.value, whole)
-            yield pa.record_batch([*batch.columns, pa.array(keys), pa.array(rates_after(p, steps, most_rate))], schema.fieldNames())
+            keys, _, p = _scored(batch.column("text"), sent.value)
+            yield pa.record_batch([*batch.columns, pa.array(keys), pa.array(rates_after(p, steps, most_rate, keep))], schema.fieldNames())
 
     rated = documents.mapInArrow(run, schema).withColumn("__copies", copies_of(F.col("__rate"), key="__row_key")).where("__copies > 0")
     return rated.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[F.col(f"`{f.name}`") for f in fields])

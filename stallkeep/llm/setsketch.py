@@ -264,3 +264,21 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     full = full.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     empty = table.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.union(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(documents: DataFrame) -> DataFrame:
+    """One row of each group of near-duplicates among `documents` (doc_id, text, more): that of the smallest id.
+
+    Texts without a word are no duplicates. Rows that repeat an id and its text stay once, those of
+    one id and several texts by text; rows without an id stay once a text.
+    """
+    found = near_duplicates(documents).where("doc_id IS NOT NULL")
+    # what goes, and what stands more than once: few, against all that stays
+    marks = found.groupBy(F.col("doc_id").alias("__doc_id")).agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")).where("NOT __kept OR __rows > 1")
+    marks = stored(marks, "marks")
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    joined = documents.where("doc_id IS NOT NULL").join(marks, F.col("doc_id") == F.col("__doc_id"), "left")
+    kept = joined.where("__kept IS NULL").select(*columns)
+    if not marks.where("__kept").isEmpty():
+        kept = kept.union(joined.where("__kept").select(*columns).dropDuplicates(["doc_id", "text"]))
+    return kept.union(documents.where("doc_id IS NULL").dropDuplicates(["text"]))

@@ -225,6 +225,8 @@ def test_languages_of_held_out_rows(documents, odd, none):
     assert found[4].lang_pred in ("en", "de") and 0.5 <= found[4].score <= 1
     assert language.identify(none, model).count() == 0
     assert language.fit([], ["a"]).predict(["text"]) == [("und", 0.0)]
+    assert model.predict(["½ ²", "12 %", "ⅷ", "一", "the ½"])[:3] == [("und", 0.0)] * 3
+    assert [name for name, _ in model.predict(["一", "the ½"])] != ["und", "und"]
 
 
 def test_tokens_equal_the_vocabulary_file():
