@@ -15,8 +15,6 @@ out and not learnt from. Other columns are ignored.
 
 from __future__ import annotations
 
-import re
-
 from collections import Counter
 from dataclasses import dataclass, field
 from itertools import repeat
@@ -24,7 +22,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallkeep.llm.bytetext import blocks, mix, per_text, words
@@ -32,10 +30,8 @@ from stallkeep.llm.samples import MOST_BYTES, at_most_twice, held_out
 
 #: Texts per language that the models are fitted on, distinct words of them, and rounds.
 TEXTS, WORDS, ROUNDS = 300, 30_000, 3
-LONGEST_PIECE = 12
 #: Words scored at once whose results a task keeps.
 KEPT_WORDS = 500_000
-LETTER = re.compile(r"[^\W\d_]")
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 MARK = "▁"  # begins a word in the vocabulary
 
@@ -46,7 +42,7 @@ def vocabulary(model_file: str) -> list[str]:
 
     s = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = {s.id_to_piece(i).lower() for i in range(s.get_piece_size()) if not (s.is_control(i) or s.is_byte(i) or s.is_unknown(i))}
-    return sorted(p for p in pieces if p and len(p) <= LONGEST_PIECE)
+    return sorted(p for p in pieces if p)
 
 
 class Lattice:
@@ -58,13 +54,14 @@ class Lattice:
 
     def __init__(self, words: list[str], vocabulary: Vocabulary):
         marked = [MARK + w for w in words]
+        self.longest = vocabulary.longest
         self.order = np.argsort([-len(w) for w in marked], kind="stable")
         self.length = np.array([len(marked[k]) for k in self.order], np.int64)
         points = np.frombuffer("".join(marked[k] for k in self.order).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         self.start = np.cumsum(self.length) - self.length
         place = np.arange(len(points)) - np.repeat(self.start, self.length)
         value, self.piece = np.zeros(len(points), np.uint64), []
-        for size in range(1, LONGEST_PIECE + 1):
+        for size in range(1, self.longest + 1):
             # the hash of the last `size` characters grows at its front
             shifted = np.concatenate([np.zeros(size - 1, np.uint64), points[: len(points) - size + 1]])[: len(points)]
             value = value + (shifted + np.uint64(1)) * FRONT[size - 1]
@@ -86,14 +83,14 @@ class Lattice:
         for end in range(1, most + 1):
             n = self.alive(end)
             total = np.zeros((n, names))
-            for size in range(1, min(LONGEST_PIECE, end) + 1):
+            for size in range(1, min(self.longest, end) + 1):
                 at = self.start[:n] + self.length[:n] - 1 - end + size if backward else self.start[:n] + end - 1
                 piece = self.piece[size - 1][at]
                 hit = np.flatnonzero(piece >= 0)
                 total[hit] += rows[end - size][hit] * p[piece[hit]]
             rows.append(total)
             if end % 8 == 0 and most > 30:  # keep long words within range
-                recent = rows[max(end - LONGEST_PIECE, 0) :]
+                recent = rows[max(end - self.longest, 0) :]
                 top = np.maximum.reduce([r[:n] for r in recent])
                 for r in recent:
                     r[:n] /= top
@@ -127,7 +124,7 @@ class Lattice:
             for r in np.unique(rest):
                 same = np.flatnonzero(rest == r)
                 after[same] = back[r][same, 0]
-            for size in range(1, min(LONGEST_PIECE, end) + 1):
+            for size in range(1, min(self.longest, end) + 1):
                 piece = self.piece[size - 1][self.start[:n] + end - 1]
                 hit = np.flatnonzero(piece >= 0)
                 use += np.bincount(piece[hit], times[hit] * ahead[end - size][hit, 0] * p[piece[hit]] * after[hit], len(p))
@@ -136,7 +133,7 @@ class Lattice:
 
 #: Bits of the slots of a vocabulary's tables.
 SLOTS = 20
-FRONT = np.cumprod(np.full(LONGEST_PIECE, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
+FRONT = np.cumprod(np.full(256, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
 
 class Vocabulary:
@@ -144,8 +141,11 @@ class Vocabulary:
 
     def __init__(self, pieces: list[str]):
         self.unknown = len(pieces)
+        self.longest = max(map(len, pieces), default=1)
+        if self.longest > len(FRONT):
+            raise ValueError(f"a piece of {self.longest} characters; at most {len(FRONT)} may be")
         self.keys = np.zeros(len(pieces) + 1, np.uint64)
-        for size in range(1, LONGEST_PIECE + 1):
+        for size in range(1, self.longest + 1):
             own = [k for k, p in enumerate(pieces) if len(p) == size]
             points = np.array([[ord(c) for c in reversed(pieces[k])] for k in own], np.uint64).reshape(-1, size)
             self.keys[own] = mix(((points + np.uint64(1)) * FRONT[:size]).sum(1, dtype=np.uint64))
@@ -204,7 +204,7 @@ class Languages:
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         found: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
-        asked = [k for k, t in enumerate(texts) if t and self.names and LETTER.search(t)]
+        asked = [k for k, t in enumerate(texts) if t and self.names and any(map(str.isalpha, t))]
         for k, z in zip(asked, self.log_likelihoods([texts[k] for k in asked]), strict=True):
             e = np.exp(z - z.max())
             best = int(e.argmax())
@@ -250,14 +250,11 @@ def training_rows(documents: DataFrame, texts: int = TEXTS, most: int = MOST_BYT
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], int((1 << 20) * min(1.0, 2 * texts / r["n"])))]) if counts else None
     chosen = usable.where(place < share[F.col("lang")]) if counts else usable.limit(0)
-    found = at_most_twice(chosen, "lang", "doc_id").select("lang", "text", place.alias("place")).collect()
-    rows = []
-    taken: Counter = Counter()
-    for r in sorted(found, key=lambda r: (r["lang"], r["place"], r["text"])):
-        taken[r["lang"]] += 1
-        if taken[r["lang"]] <= texts:
-            rows.append((r["lang"], r["text"]))
-    return rows
+    # about twice `texts` rows a language are left: ranked there, and only what is learnt from is collected
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
+    ranked = at_most_twice(chosen, "lang", "doc_id").select("lang", "text", place.alias("place")).withColumn("rank", rank)
+    found = ranked.where(F.col("rank") <= texts).select("lang", "rank", "text").collect()
+    return [(r["lang"], r["text"]) for r in sorted(found, key=lambda r: (r["lang"], r["rank"]))]
 
 
 def identify(documents: DataFrame, model: Languages) -> DataFrame:
