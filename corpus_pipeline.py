@@ -6,50 +6,57 @@ the last return the columns of documents.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stallkeep.llm import mixing, packing, passages, quality_rules, setsketch
 from stallkeep.llm.queries import RANKS, VOCABULARY, table, tokenizer_file
-from stallkeep.session import new_folder, stored, tune
+from stallkeep.session import new_folder, release, tune, work
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def stage(function: Stage) -> Stage:
+    """A stage that first deletes what the stages before have stored for themselves: their results are written by now."""
+
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, "pipeline", docs)
+        with work("pipeline"):
+            return function(spark, docs.select(*COLUMNS), sf_dir)
+
+    return run
 
 
+@stage
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    labels = table(spark, sf_dir, "labels")
-    model = quality_rules.fitted_model(table(spark, sf_dir, "documents"), labels)
-    return quality_rules.kept_rows(docs.select(*COLUMNS), model)
+    return quality_rules.kept_rows(docs, quality_rules.fitted_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
 
 
+@stage
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates; a document given twice stays once. Texts without a word are no duplicates."""
-    found = setsketch.near_duplicates(docs)
-    kept = stored(found.where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    joined = docs.select(*COLUMNS).join(kept.where("rows = 1"), "doc_id", "left_semi")
-    # ids that stand more than once, and null ones, which can't be joined on
-    several = docs.select(*COLUMNS).join(kept.where("rows > 1"), "doc_id", "left_semi")
-    return joined.union(several.dropDuplicates(["doc_id", "text"])).union(docs.select(*COLUMNS).where("doc_id IS NULL").dropDuplicates(["text"]))
+    return setsketch.without_near_duplicates(docs)
 
 
+@stage
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a document of smaller id holds; those of nothing else go."""
-    docs = docs.select(*COLUMNS)
-    spans = stored(passages.merged_spans(passages.repeated_passages(docs)), "spans")
-    cut = passages.without_repeats(docs, spans)
-    cut = cut.withColumn("n_chars", F.length("text").cast("long"))
-    emptied = spans.select("doc_id").distinct().withColumn("cut", F.lit(True))
-    return cut.join(emptied, "doc_id", "left").where("cut IS NULL OR text <> ''").select(*COLUMNS)
+    return passages.without_repeated_passages(docs)
 
 
+@stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as op3's mixture takes them, each of one domain: clean ones once, the others as often as their targets ask."""
-    docs = docs.select(*COLUMNS)
+    """Documents as op3's mixture takes them: those not mostly of another domain once, the others as often as the targets ask."""
     model = mixing.fitted_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return mixing.taken_rows(docs, model, whole=True)
+    return mixing.taken_rows(docs, model, keep_anchor=True)
 
 
+@stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
     return packing.pack_documents(docs, tokenizer_file(RANKS), tokenizer_file(VOCABULARY))
@@ -73,4 +80,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = new_folder(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+    release(spark, "pipeline", docs)
     return docs
