@@ -200,8 +200,9 @@ def ranked(parts: DataFrame, anchors: DataFrame, n_parts: int, k: int, same: boo
                     columns,
                 )
 
-    # many parts' bytes are more than a broadcast holds, and a part's number is no hot key
-    return parts.hint("merge").join(dealt, "part").mapInArrow(run, "anchor long, target int, id long, score long")
+    # many parts' bytes are more than a broadcast holds, and a part's number is no hot key; the rows are few and
+    # the work on each is not, so the number of tasks isn't reduced for small data
+    return parts.repartition(n_parts, "part").hint("merge").join(dealt.repartition(n_parts, "part"), "part").mapInArrow(run, "anchor long, target int, id long, score long")
 
 
 def keep(held: tuple[np.ndarray, np.ndarray], score: np.ndarray, ids: np.ndarray, wanted: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
