@@ -135,7 +135,8 @@ def searched(parts: DataFrame, queries: DataFrame, n_parts: int, k: int) -> Data
                 query = np.repeat(wanted, [len(places) for places, _ in found])
                 yield pa.record_batch([pa.array(query), pa.array(index.codes.view(np.int64)[at]), pa.array(n[at]), pa.array(least[at]), pa.array(far)], ["query", "code", "n", "least", "distance"])
 
-    return parts.hint("merge").join(dealt, "part").mapInArrow(run, "query long, code long, n long, least long, distance int")
+    # the rows are few and small, the work on each is not: a number of tasks that isn't reduced for small data
+    return parts.repartition(n_parts, "part").hint("merge").join(dealt.repartition(n_parts, "part"), "part").mapInArrow(run, "query long, code long, n long, least long, distance int")
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
