@@ -142,6 +142,29 @@ def test_the_fact_follows_changed_orders_and_places(spark, store, sales):
     assert len({r[4] for r in found if r[3] == "s2"}) == 2 and rebuilt(store)
 
 
+def test_new_sales_are_appended_and_the_fact_is_not_rewritten(spark, store, sales):
+    items, payments, places = sales
+    before = store.version("gold", "fct_sales").folders
+    # another spelling of a place, a payment and an item of known orders, one delivered again
+    store.replace(places((1, "x"), (1, "X"), (1, None), (2, "y")), "silver_gated", "geolocation")
+    store.append(payments(("o2", 1, 12.0), ("o1", 2, 3.0), ("o1", 1, 21.0)), "silver", "order_payments")
+    store.append(items(("o3", 2, "p9", "s2"), ("o3", 1, "p3", "s1")), "silver", "order_items")
+    assert medallion.refresh_fact(store) == 3
+    after = store.version("gold", "fct_sales").folders
+    assert set(before) <= set(after) and len(after) > len(before)
+    found = fact_rows(store)
+    assert len(found) == len(set(found)) and len({r[4] for r in found if r[3] == "s1"}) == 3 and rebuilt(store)
+
+
+def test_a_place_that_is_gone_takes_its_sales_along(spark, store, sales):
+    _, _, places = sales
+    store.replace(places((1, "x"), (1, "X"), (2, "y")), "silver_gated", "geolocation")
+    medallion.refresh_fact(store)
+    store.replace(places((1, "X"), (2, "y"), (2, "Y")), "silver_gated", "geolocation")
+    medallion.refresh_fact(store)
+    assert {r[3]: len({x[4] for x in fact_rows(store) if x[3] == r[3]}) for r in fact_rows(store)} == {"s1": 1, "s2": 2} and rebuilt(store)
+
+
 def test_refresh_builds_a_fact_that_is_not_there(spark, store, sales):
     store.publish("gold", "fct_sales", [], STAR["fct_sales"].schema)  # by other means, without its inputs' versions
     store.append(sales[1](("o2", 1, 12.0)), "silver", "order_payments")
