@@ -145,3 +145,18 @@ def test_fact_has_no_distinct_above_the_joins(large):
     text = plan(fact)
     assert "HashAggregate" not in text[: text.index("SortMergeJoin")]
     assert fact.count() == fact.distinct().count()
+
+
+def test_locations_become_rows_after_the_last_join_of_the_fact(large):
+    t = SalesTables(large, FOLDER)
+    text = plan(star.fct_sales(t.orders, t.order_items, t.sellers, t.geolocation, t.order_payments))
+    assert text.index("Generate explode") < text.index("SortMergeJoin")
+
+
+def test_the_fact_is_stored_for_its_checks_by_its_keys_alone(spark, monkeypatch):
+    from stallkeep.plans import star_schema
+
+    kept = []
+    monkeypatch.setattr(star_schema, "stored", lambda df, purpose: kept.append(df.columns) or df)
+    star_schema.star_integrity(SalesTables(spark, FOLDER))
+    assert kept == [["sale_id", "customer_id", "product_id", "seller_id", "location_id", "time_id"]]
