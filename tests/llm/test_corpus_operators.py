@@ -213,6 +213,19 @@ def similar(a, b):
     return (x & y).total() / (x | y).total()
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_near_passage_is_found_if_smaller_documents_hold_its_parts(spark, copies):
+    r = random.Random(copies)
+    passage = [f"p{k}" for k in range(64)]
+    rows = []
+    for _ in range(copies):  # parts too short for a passage, in many documents
+        rows += [(len(rows), " ".join(prose(r, 60) + passage[:36] + prose(r, 60))), (len(rows) + 1, " ".join(prose(r, 60) + passage[28:] + prose(r, 60)))]
+    edited = passage[:32] + ["other"] + passage[33:]
+    rows += [(1000, " ".join(prose(r, 30) + passage + prose(r, 30))), (1001, " ".join(prose(r, 20) + edited + prose(r, 30)))]
+    spans = passages.merged_spans(passages.repeated_passages(frame(spark, rows))).collect()
+    assert [(x.doc_id, x.keeper, x.start_word, x.n_words) for x in spans] == [(1001, 1000, 20, 64)]
+
+
 def test_passages_bridge_what_their_similarity_allows():
     r = random.Random(31)
     least = {True: 0, False: 0}
