@@ -599,3 +599,11 @@ def test_pipeline_keeps_clean_documents_and_meets_the_mixture(spark, tmp_path):
     print("clean", len(clean), "gone", len(gone), "share", share, "mostly", mostly, "rows", kept.count(), copies.total())
     assert abs(share[2] - mixing.TARGETS["toxic"]) < 0.02 and share[1] <= mixing.TARGETS["poor"] + 0.01
     assert abs(mostly[2] - mixing.TARGETS["toxic"]) < 0.04
+
+
+def test_a_group_of_few_documents_is_paired_without_its_tokens(spark):
+    # many windows of one key in three documents; their texts aren't needed
+    members = spark.createDataFrame([(1, u, 1, c, 60) for u in (1, 2, 3) for c in range(20)], "key long, u long, v long, centre int, n long")
+    still = spark.createDataFrame([(3, 7), (3, 8)], "u long, centre int")
+    documents = spark.createDataFrame([(u, None) for u in (1, 2, 3)], "doc_id long, text string")
+    assert sorted(tuple(r)[:2] for r in passages.others_of_groups(still, members, documents).collect()) == [(3, 1), (3, 2)]
