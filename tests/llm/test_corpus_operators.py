@@ -607,3 +607,18 @@ def test_a_group_of_few_documents_is_paired_without_its_tokens(spark):
     still = spark.createDataFrame([(3, 7), (3, 8)], "u long, centre int")
     documents = spark.createDataFrame([(u, None) for u in (1, 2, 3)], "doc_id long, text string")
     assert sorted(tuple(r)[:2] for r in passages.others_of_groups(still, members, documents).collect()) == [(3, 1), (3, 2)]
+
+
+def test_equal_runs_of_a_large_host_meet_in_one_suffix_array():
+    r = np.random.default_rng(9)
+    for _ in range(20):
+        sizes = r.integers(0, 40, 6)
+        tokens, page = r.integers(0, 3, sizes.sum()).astype(np.uint64), np.repeat(np.arange(6), sizes)
+        anchor, first, end = html_main.stretches(tokens, page)
+        runs, at = {}, []
+        for a, i, j in zip(anchor.tolist(), first.tolist(), end.tolist(), strict=True):
+            assert page[i] == page[j - 1]
+            for k in range(i, j - 7):
+                at.append(k)
+                assert runs.setdefault(tuple(tokens[k : k + 8]), a) == a
+        assert at == [k for k in range(len(tokens) - 7) if page[k] == page[k + 7]]
