@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from stallkeep.llm.bytetext import PIECE, blocks, per_text, shingles, words
+from stallkeep.llm.bytetext import PIECE, blocks, give_back, per_text, shingles, words
 
 BITS = 18
 FAMILIES = 3
@@ -159,7 +159,10 @@ def fit(rows: list[tuple[str, int]], classes: int, steps: int = 40, rate: float
         bias_state[0] += 0.1 * (g - bias_state[0])
         bias_state[1] += 0.01 * (g * g - bias_state[1])
         model.bias -= 0.05 * (bias_state[0] / (1 - 0.9**step)) / (np.sqrt(bias_state[1] / (1 - 0.99**step)) + 1e-6)
-    return _calibrate(model, raw()[tested], target[tested])
+    fitted = _calibrate(model, raw()[tested], target[tested])
+    stacked.clear()
+    give_back()  # the driver's, which stays and fits again
+    return fitted
 
 
 def _pieces(n: int, size: int = 1 << 20) -> Iterator[slice]:

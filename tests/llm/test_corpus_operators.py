@@ -609,6 +609,22 @@ def test_a_group_of_few_documents_is_paired_without_its_tokens(spark):
     assert sorted(tuple(r)[:2] for r in passages.others_of_groups(still, members, documents).collect()) == [(3, 1), (3, 2)]
 
 
+def test_only_texts_of_concerned_documents_are_moved(spark):
+    docs = frame(spark, [*((i, f"w{i} " * 60) for i in range(-500, 3000)), (7, "again"), (None, "no id")])
+    ids = spark.createDataFrame([(i,) for i in (-500, 7, 7, 2999, 1 << 40)], "doc_id long")
+    found = passages.rows_of(docs, ids)
+    assert found.columns == docs.columns
+    rows = Counter(r.doc_id for r in found.collect())
+    assert {-500: 1, 7: 2, 2999: 1}.items() <= rows.items() and rows.total() < 20
+    assert passages.rows_of(docs, ids.limit(0)).count() == 0
+    # rows without a span take no part in a join, and stay
+    key = passages.word_keys(docs).where("doc_id = 2999").first().words_key
+    spans = spark.createDataFrame([(2999, key, 0, 60, 1, 1.0)], passages.SPANS)
+    kept = passages.without_repeats(docs, spans)
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter((r.doc_id, "" if r.doc_id == 2999 else r.text) for r in docs.collect())
+    assert passages.without_repeats(docs, spans, drop_emptied=True).count() == docs.count() - 1
+
+
 def test_equal_runs_of_a_large_host_meet_in_one_suffix_array():
     r = np.random.default_rng(9)
     for _ in range(20):
