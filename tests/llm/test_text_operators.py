@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 from collections import Counter
@@ -265,6 +266,38 @@ def check_packing(rows, docs, length):
     return sum(map(len, ids)), len(sequences)
 
 
+def test_tokens_are_the_same_however_few_chunks_are_kept(monkeypatch):
+    texts = [*random_texts(300, 4), None, "", *[t for _, t, *_ in ODD]]
+    column = pa.array(texts)
+    t = packing.Tokenizer(tokenizer_file(RANKS), tokenizer_file(VOCABULARY))
+    whole = [ids.tolist() for ids in t.texts(column)]
+    assert whole == [t.encode(text or "") for text in texts]
+    monkeypatch.setattr(packing, "ENCODED", 2000)
+    for most in (0, 50, 1 << 20):
+        monkeypatch.setattr(packing, "KEPT_CHUNKS", most)
+        t.forget()
+        assert [ids.tolist() for ids in t.texts(column)] == whole
+
+
+def test_packing_and_counting_words_take_little_of_a_workers_memory():
+    rng = random.Random(1)
+    known = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 9))) for _ in range(60_000)]
+    column = pa.array([" ".join(rng.choices(known, k=400)) for _ in range(1500)])  # 4 MB, about 60,000 chunks
+    t = packing.Tokenizer(tokenizer_file(RANKS), tokenizer_file(VOCABULARY))
+
+    def peak_mb(work) -> float:
+        tracemalloc.start()
+        try:
+            work()
+            return tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    bytetext._powers.clear()
+    assert peak_mb(lambda: [len(ids) for ids in t.texts(column)]) < 50  # 96 with a dict of chunks and blocks of 2 MB
+    assert peak_mb(lambda: quality_rules.repeated_words(column)) < 25
+
+
 def test_packing_round_trip(documents, odd, none):
     files = tokenizer_file(RANKS), tokenizer_file(VOCABULARY)
     rows = packing.pack_documents(documents, *files).collect()
