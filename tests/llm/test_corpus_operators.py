@@ -609,6 +609,45 @@ def test_a_group_of_few_documents_is_paired_without_its_tokens(spark):
     assert sorted(tuple(r)[:2] for r in passages.others_of_groups(still, members, documents).collect()) == [(3, 1), (3, 2)]
 
 
+@pytest.mark.parametrize("family", [150])
+def test_near_passages_whose_every_token_is_in_many_documents(spark, family):
+    """A document of smaller id holds part of the passage; of the others each has another word changed."""
+    r = random.Random(family)
+    shared = prose(r, 64)
+    rows = [(0, " ".join(prose(r, 30) + shared[:36] + prose(r, 30))), (1, " ".join(prose(r, 30) + shared[28:] + prose(r, 30)))]
+    for k in range(family):
+        at = 8 + 48 * k // family
+        rows.append((10 + k, " ".join(prose(r, 20) + shared[:at] + prose(r, 1) + shared[at + 1 :] + prose(r, 20))))
+    spans = passages.merged_spans(passages.repeated_passages(frame(spark, rows))).collect()
+    expected = {}
+    for i, text in rows:
+        own = text.split()[20:84]
+        if i > 10 and any(similar(own, other.split()[20:84]) >= 0.75 for j, other in rows if 10 <= j < i):
+            expected[i] = range(20, 84)
+    assert len(expected) == family - 1
+    found = {s.doc_id: s for s in spans}
+    assert found.keys() == expected.keys()
+    assert all(s.n_words >= 49 and s.start_word >= 20 and s.start_word + s.n_words <= 84 for s in spans)
+
+
+def test_what_a_gap_costs_is_never_more_than_a_passage_pays():
+    r = random.Random(12)
+    for _ in range(300):
+        text = [r.choice("abc") if r.random() < 0.3 else f"w{r.random()}" for _ in range(40)]
+        at, gone, new = r.randint(12, 20), r.randint(0, 8), r.randint(0, 8)
+        other = text[:at] + prose(r, new) + text[at + gone :]
+        hashes = np.array([hash(w) % (1 << 31) for w in text], np.int32)
+        held = hashes[np.arange(len(text) - 4)[:, None] + np.arange(5)]
+        there = {tuple(other[k : k + 5]) for k in range(len(other) - 4)}
+        equal = np.array([tuple(text[k : k + 5]) in there for k in range(len(text) - 4)])
+        gaps = np.flatnonzero(~equal)
+        if not len(gaps) or equal[gaps[0] : gaps[-1]].any():
+            continue
+        low, high = gaps[0], gaps[-1] + 1
+        here, beyond = high - low, high - low + len(other) - len(text)
+        assert passages.bridged((0, low, held[:low]), (high, len(held), held[high:])) <= 3 * (here + max(beyond, 0))
+
+
 def test_only_texts_of_concerned_documents_are_moved(spark):
     docs = frame(spark, [*((i, f"w{i} " * 60) for i in range(-500, 3000)), (7, "again"), (None, "no id")])
     ids = spark.createDataFrame([(i,) for i in (-500, 7, 7, 2999, 1 << 40)], "doc_id long")
