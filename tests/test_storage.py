@@ -1,11 +1,12 @@
 import os
+import time
 from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
 from stallkeep.contracts import CLEAN
-from stallkeep.session import exists, new_folder, release, shared_folder, shuffle_partitions_for, side_by_side, stored, work
+from stallkeep.session import STEPWISE, exists, new_folder, release, shared_folder, shuffle_partitions_for, side_by_side, stored, tune, work
 from stallkeep.sources import landing
 from stallkeep.sources.store import TableMissing, publish_formats
 from stallkeep.streaming import ingest
@@ -272,3 +273,25 @@ def test_stream_checks_the_header_and_reads_sub_folders(spark, store, tmp_path):
     with pytest.raises(Exception):
         ingest.stream_append(store, ingest.csv_stream(spark, str(tmp_path / "turned"), SELLERS), "bronze", "turned", str(tmp_path / "c2"))
     assert store.read("bronze", "turned").count() == 0
+
+
+def test_finished_steps_leave_no_shuffle_files(spark, tmp_path):
+    """As the queries of many steps run: what a write has shuffled goes with it."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in manager.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name and name.endswith(".data")}
+
+    before = shuffled()
+    try:
+        tune(spark, **STEPWISE)
+        spark.range(10_000).groupBy((F.col("id") % 977).alias("k")).count().write.parquet(str(tmp_path / "counts"))
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffled() - before
+    finally:
+        for name in STEPWISE:
+            spark.conf.unset(name)
+    spark.range(10_000).groupBy((F.col("id") % 977).alias("k")).count().write.parquet(str(tmp_path / "others"))
+    assert shuffled() - before
